@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import operator
 import re
 
 from pyspark.sql import Column, functions as F
 
 from millrace import fixed
-from millrace.functions.text import column, is_blank, normalized
+from millrace.functions.text import is_blank, normalized, quoted
 from millrace.model import Rule
 
-_COMPARE = {
-    "<=": operator.le, ">=": operator.ge, "=": operator.eq, "<": operator.lt, ">": operator.gt}
 _INT_RANGE = range(-2**31, 2**31)
 
 
@@ -33,38 +30,42 @@ def domain_values(param: str | None) -> list[str]:
     return [v.strip() for v in (param or "").split(",")]
 
 
-def _null(value: Column, rule: Rule, strict: bool) -> Column:
-    return is_blank(value)
+def _null(rule: Rule, strict: bool) -> Column:
+    return is_blank(rule.column_name)
 
 
-def _length(value: Column, rule: Rule, strict: bool) -> Column:
+def _length(rule: Rule, strict: bool) -> Column:
+    filled = ~is_blank(rule.column_name)
     wanted = parse_length(rule.qc_param)
     if wanted is None:
         if strict or rule.qc_param is None:
             raise ValueError(f"rule {rule.qc_id}: unreadable length {rule.qc_param!r}")
-        return ~is_blank(value)
+        return filled
     op, size = wanted
-    return ~is_blank(value) & ~F.coalesce(_COMPARE[op](F.length(value), size), F.lit(False))
+    return filled & F.expr(f"not length(cast({quoted(rule.column_name)} as string)) {op} {size}")
 
 
-def _domain(value: Column, rule: Rule, strict: bool) -> Column:
+def _domain(rule: Rule, strict: bool) -> Column:
     if rule.qc_param is None:
         raise ValueError(f"rule {rule.qc_id}: a DOMAIN rule needs a parameter")
-    allowed = normalized(value).isin(*domain_values(rule.qc_param))
-    return ~is_blank(value) & ~F.coalesce(allowed, F.lit(False))
+    value = F.expr(normalized(rule.column_name))
+    return ~is_blank(rule.column_name) & ~value.isin(*domain_values(rule.qc_param))
 
 
 _BUILDERS = {"NULL": _null, "LENGTH": _length, "DOMAIN": _domain}
 
 
-def validate(rule: Rule, columns: list[str]) -> None:
-    """Raise for a rule that could only fail later, in the middle of a job."""
+def validate(rule: Rule, columns: set[str]) -> None:
+    """Raise for a rule that could only fail later, in the middle of a job.
+
+    `columns` are the lower-cased names the rule may use.
+    """
     if rule.kind not in fixed.DESCRIPTIONS:
         raise ValueError(f"rule {rule.qc_id}: unknown type {rule.qc_type!r}")
     if rule.kind == "CUSTOM":
         if not rule.qc_param:
             raise ValueError(f"rule {rule.qc_id}: a CUSTOM rule needs a query")
-    elif rule.column_name.lower() not in {c.lower() for c in columns}:
+    elif rule.column_name.lower() not in columns:
         raise ValueError(f"rule {rule.qc_id}: no column {rule.column_name!r}")
 
 
@@ -74,5 +75,4 @@ def violation(rule: Rule, strict: bool = True) -> Column:
     Columns are compared as text, so numbers and dates can be checked too. With
     `strict=False` an unreadable length makes every filled value a violation.
     """
-    value = column(rule.column_name).cast("string")
-    return _BUILDERS[rule.kind](value, rule, strict)
+    return _BUILDERS[rule.kind](rule, strict)

@@ -7,19 +7,23 @@ from pyspark.sql import Column, functions as F
 from millrace import fixed
 
 
+def quoted(name: str) -> str:
+    """A top-level column's exact name, dots and spaces included, as SQL reads it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """A top-level column by its exact name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
-def normalized(value: Column) -> Column:
-    """Upper case without surrounding spaces (spaces only: tabs stay)."""
-    return F.upper(F.trim(value))
+def normalized(name: str) -> str:
+    """SQL for the column as upper-case text without surrounding spaces (tabs stay)."""
+    return f"upper(trim(cast({quoted(name)} as string)))"
 
 
-def is_blank(value: Column) -> Column:
+def is_blank(name: str) -> Column:
     """NULL, empty, only spaces, or the word null. Never NULL itself."""
-    return F.coalesce(normalized(value).isin(*fixed.BLANK_TEXTS), F.lit(True))
+    return F.expr(f"coalesce({normalized(name)} in {fixed.BLANK_TEXTS}, true)")
 
 
 def bracketed(parts: list[Column]) -> Column:

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace import fixed
+from millrace.functions.text import column
 from millrace.settings import scratch
+from millrace.sources.local import local_frame
 
 PART = "_landing_part"
 # Broadcast rows are a file key and a long; beyond this many files Spark picks the join itself.
@@ -56,7 +57,7 @@ def _store(df: DataFrame, path: str) -> DataFrame:
 def _number(stored: DataFrame, key: Column) -> DataFrame:
     """Prefix ROW_ID; `key` tells the files apart and its order is the order of the files."""
     spark = stored.sparkSession
-    columns = [c for c in stored.columns if c != PART]
+    columns = [column(c) for c in stored.columns if c != PART]
     rows = stored.select(key.alias("_file"), _index().alias("_row"))
     counts = (rows.groupBy("_file")
               .agg(F.count(F.lit(1)).alias("n"), F.max("_row").alias("last"))
@@ -70,15 +71,13 @@ def _number(stored: DataFrame, key: Column) -> DataFrame:
     if len(counts) <= 1:
         numbered = placed.withColumn("_before", F.lit(0).cast("bigint"))
     else:
-        offsets = spark.createDataFrame(pa.table({
-            "_file": [c["_file"] for c in counts], "_before": before[:-1]}))
-        offsets = offsets.select(
-            F.col("_file").cast(placed.schema["_file"].dataType), "_before")
+        offsets = local_frame(spark, zip((c["_file"] for c in counts), before), T.StructType([
+            placed.schema["_file"], T.StructField("_before", T.LongType())]))
         if len(counts) <= BROADCAST_FILES:
             offsets = F.broadcast(offsets)
         numbered = placed.join(offsets, "_file")
     row_id = (F.col("_before") + F.col("_row") + 1).alias(fixed.ROW_ID)
-    return numbered.select(row_id, *[numbered[c] for c in columns])
+    return numbered.select(row_id, *columns)
 
 
 def number_stored_rows(stored: DataFrame) -> DataFrame:

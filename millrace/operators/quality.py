@@ -12,27 +12,33 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace import fixed
 from millrace.functions.rules import validate, violation
 from millrace.functions.text import array_text, bracketed, column, null_text
 from millrace.model import VIOLATIONS, Rule, Run
 from millrace.operators.sqlstep import run_sql
+from millrace.sources.local import local_frame
 
 RULE = "_rule"
 _LOG_KEYS = [f for f in VIOLATIONS.names if f != fixed.ROW_ID]
+_RULE_FIELD = T.StructField(RULE, T.IntegerType())
+_RULES = T.StructType([_RULE_FIELD, *[VIOLATIONS[k] for k in _LOG_KEYS]])
+_HITS = T.StructType([VIOLATIONS[fixed.ROW_ID], _RULE_FIELD])
 
 
 def ordered(rules: Iterable[Rule]) -> list[Rule]:
     """Each rule once, by id. A rule's place here is its index in the log and in the hits."""
     return sorted(set(rules), key=lambda r: (
-        r.qc_id, r.description, r.column_name, r.qc_type, r.qc_param or "", r.criticality or ""))
+        r.qc_id, r.column_name, r.qc_type, r.qc_param or "", r.criticality or ""))
 
 
 def _prepare(landing: DataFrame, rules: Iterable[Rule]) -> tuple[list, list]:
-    for rule in (rules := list(rules)):
-        validate(rule, landing.columns)
+    rules = list(rules)
+    columns = {c.lower() for c in landing.columns}
+    for rule in rules:
+        validate(rule, columns)
     indexed = list(enumerate(ordered(rules)))
     return ([p for p in indexed if p[1].kind != "CUSTOM"],
             [p for p in indexed if p[1].kind == "CUSTOM"])
@@ -46,35 +52,19 @@ def custom_hits(landing: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """
     spark = landing.sparkSession
     _, custom = _prepare(landing, rules)
-    hits = spark.createDataFrame([], f"{fixed.ROW_ID} bigint, {RULE} int")
+    found = []
     for index, rule in custom:
-        found = run_sql(spark, rule.qc_param, {fixed.LANDING_VIEW: landing})
-        found = found.select(F.col(fixed.ROW_ID).cast("bigint")).distinct()
-        hits = hits.unionByName(found.withColumn(RULE, F.lit(index)))
-    return hits
-
-
-def _log_rows(found: DataFrame, rules: list[Rule], run: Run) -> DataFrame:
-    """Ten log columns from ROW_ID and rule index."""
-    about = F.array(*[
-        F.struct(
-            F.lit(r.qc_id).alias("QC_ID"),
-            F.lit(r.column_name).alias("COLUMN_NAME"),
-            F.lit(r.qc_type).alias("QC_TYPE"),
-            F.lit(r.qc_param).cast("string").alias("QC_PARAM"),
-            F.lit(r.description).alias("QC_DESC"),
-            F.lit(r.criticality).cast("string").alias("CRITICALITY"))
-        for r in rules])
-    constants = {
-        "CYCLE_ID": F.lit(run.cycle_id),
-        "RUN_ID": F.lit(run.run_id),
-        "DATASET_ID": F.lit(run.dataset_id),
-        fixed.ROW_ID: F.col(fixed.ROW_ID),
-    }
-    return found.select(*[
-        constants.get(f.name, F.element_at(about, F.col(RULE) + 1)[f.name])
-        .cast(f.dataType).alias(f.name)
-        for f in VIOLATIONS])
+        rows = run_sql(spark, rule.qc_param, {fixed.LANDING_VIEW: landing})
+        rows = rows.select(F.col(fixed.ROW_ID).cast("bigint")).distinct()
+        found.append(rows.withColumn(RULE, F.lit(index)))
+    return reduce(DataFrame.unionByName, found) if found else local_frame(spark, [], _HITS)
+
+
+def _rule_table(spark: SparkSession, rules: list[Rule], run: Run) -> DataFrame:
+    """What the log says of each rule, by rule index. A row per rule: small by nature."""
+    return local_frame(spark, [
+        (i, run.cycle_id, run.run_id, run.dataset_id, r.qc_id, r.column_name, r.qc_type,
+         r.qc_param, r.description, r.criticality) for i, r in enumerate(rules)], _RULES)
 
 
 def check(
@@ -88,7 +78,7 @@ def check(
     rules = ordered(rules)
     plain, custom = _prepare(landing, rules)
     if not rules:
-        return landing.sparkSession.createDataFrame([], VIOLATIONS)
+        return local_frame(landing.sparkSession, [], VIOLATIONS)
     parts = []
     if plain:
         none = F.lit(-1)
@@ -97,7 +87,8 @@ def check(
         parts.append(landing.select(fixed.ROW_ID, F.explode(broken).alias(RULE)))
     if custom:
         parts.append(hits if hits is not None else custom_hits(landing, rules))
-    return _log_rows(reduce(DataFrame.unionByName, parts), rules, run)
+    about = F.broadcast(_rule_table(landing.sparkSession, rules, run))
+    return reduce(DataFrame.unionByName, parts).join(about, RULE).select(*VIOLATIONS.names)
 
 
 def _any(columns: Sequence[Column]) -> Column:
@@ -171,12 +162,7 @@ def summarize(
     """Errors per rule. With the run's `rules`, those without an error are listed as PASS."""
     counts = log.groupBy(*_LOG_KEYS).agg(F.count(F.lit(1)).alias("ERROR_COUNT"))
     if rules is not None:
-        rules = ordered(rules)
-        spark = log.sparkSession
-        none_yet = _log_rows(
-            spark.range(len(rules)).select(
-                F.lit(None).cast("bigint").alias(fixed.ROW_ID), F.col("id").cast("int").alias(RULE)),
-            rules, run) if rules else spark.createDataFrame([], VIOLATIONS)
+        none_yet = _rule_table(log.sparkSession, ordered(rules), run)
         none_yet = none_yet.select(*_LOG_KEYS, F.lit(0).cast("bigint").alias("ERROR_COUNT"))
         counts = (counts.unionByName(none_yet).groupBy(*_LOG_KEYS)
                   .agg(F.sum("ERROR_COUNT").alias("ERROR_COUNT")))

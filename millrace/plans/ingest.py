@@ -17,7 +17,7 @@ from millrace.operators.mapping import apply_mapping
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import check, custom_hits, flag, summarize
 from millrace.operators.runs import next_run_id
-from millrace.settings import work_folder
+from millrace.settings import own_folder
 from millrace.sinks.catalog import register
 from millrace.sinks.logs import append, audit, write_violations
 from millrace.sinks.publish import publish
@@ -47,16 +47,17 @@ def land(
     dataset: Dataset,
     raw: DataFrame,
     columns: list[tuple[str, str]] | None,
+    target: str,
 ) -> DataFrame:
     """Mapped and numbered rows, with the same ids whenever they are read.
 
     Parquet rows are numbered where they lie. Other formats are parsed once, into a work table
-    that the next run of the dataset replaces; rules, flags and log read that.
+    that the next run for the same target replaces; rules, flags and log read that.
     """
     mapped = apply_mapping(raw, columns)
     if (dataset.file_format or "").lower() == "parquet":
         return number_stored_rows(mapped)
-    return with_row_id(mapped, work_folder(spark, "landing", str(dataset.dataset_id)))
+    return with_row_id(mapped, own_folder(spark, "landing", target))
 
 
 def stage(
@@ -74,7 +75,7 @@ def stage(
     rules = list(rules)
     hits = None
     if any(r.kind == "CUSTOM" for r in rules):
-        path = work_folder(spark, "hits", str(run.dataset_id))
+        path = own_folder(spark, "hits", target)
         custom_hits(landing, rules).write.mode("overwrite").parquet(path)
         hits = spark.read.parquet(path)
     write_violations(check(landing, rules, run, strict, hits), logs.violations, run)
@@ -116,11 +117,12 @@ def ingest_dataset(
                        has_header(dataset.header_flag))
         columns = (None if dataset.select_all_fields == fixed.YES
                    else control.layout(dataset.dataset_id))
+        target = bases.target(dataset)
         outcome["count"] = stage(
-            land(spark, dataset, raw, columns), control.rule_list(dataset.dataset_id), run,
-            logs, bases.target(dataset), bases.archive(dataset), partitions, strict)
+            land(spark, dataset, raw, columns, target), control.rule_list(dataset.dataset_id),
+            run, logs, target, bases.archive(dataset), partitions, strict)
         if database:
-            register(spark, f"{database}.{dataset.target_table_name}", bases.target(dataset))
+            register(spark, f"{database}.{dataset.target_table_name}", target)
     return run
 
 

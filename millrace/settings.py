@@ -37,7 +37,12 @@ def work_folder(spark: SparkSession, *names: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return "/".join([base.rstrip("/"), "millrace", *(names or (uuid.uuid4().hex,))])
+    return "/".join([base.rstrip("/"), "millrace", *names])
+
+
+def own_folder(spark: SparkSession, kind: str, target: str) -> str:
+    """The work folder of one target. The next run reuses it, so work tables do not pile up."""
+    return work_folder(spark, kind, uuid.uuid5(uuid.NAMESPACE_URL, target).hex)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.model import AUDIT, Dataset, Run, join_path
+from millrace.sources.local import local_frame
 
 # The folders of the violations log; a run owns its folder.
 RUN_FOLDERS = ("DATASET_ID", "CYCLE_ID", "RUN_ID")
@@ -47,7 +48,8 @@ def audit(
     message: str = "",
 ) -> None:
     """Append one row to the audit log."""
-    row = (run.cycle_id, run.run_id, run.load_date, run.job_id, run.job_name,
+    loaded = run.load_date and run.load_date.astimezone()
+    row = (run.cycle_id, run.run_id, loaded, run.job_id, run.job_name,
            dataset.dataset_id, dataset.dataset_type.upper(), dataset.dataset_name,
            process, status, count, message)
-    append(spark.createDataFrame([row], AUDIT).coalesce(1), sink, ("CYCLE_ID",))
+    append(local_frame(spark, [row], AUDIT), sink, ("CYCLE_ID",))

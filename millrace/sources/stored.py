@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.model import AUDIT, VIOLATIONS, Bases, Dataset
+from millrace.sources.local import local_frame
 
 
 def read_table(spark: SparkSession, source: str | dict, schema: StructType) -> DataFrame:
@@ -22,7 +23,7 @@ def read_table(spark: SparkSession, source: str | dict, schema: StructType) -> D
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], schema)
+            return local_frame(spark, [], schema)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
