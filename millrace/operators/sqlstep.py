@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _views = threading.Lock()
 
 
+def _temp_view(spark: SparkSession, name: str) -> DataFrame | None:
+    try:
+        found = spark.catalog.getTable(name)
+    except AnalysisException:
+        return None
+    return spark.table(name) if found.isTemporary else None
+
+
 def run_sql(
     spark: SparkSession,
     query: str,
@@ -22,15 +31,14 @@ def run_sql(
     parameters (`:name`).
     """
     with _views:
-        mine = [t for t in spark.catalog.listTables() if t.isTemporary and not t.namespace]
-        before = {t.name.lower(): spark.table(t.name) for t in mine}
+        before = {name: _temp_view(spark, name) for name in frames}
         try:
             for name, frame in frames.items():
                 frame.createOrReplaceTempView(name)
             return spark.sql(query, args=args) if args else spark.sql(query)
         finally:
-            for name in frames:
-                if name.lower() in before:
-                    before[name.lower()].createOrReplaceTempView(name)
-                else:
+            for name, view in before.items():
+                if view is None:
                     spark.catalog.dropTempView(name)
+                else:
+                    view.createOrReplaceTempView(name)

@@ -48,7 +48,8 @@ def build(
     now = now or datetime.now()
     cycle_id = f"{now:{fixed.CYCLE_FORMAT}}"
     target, sources = control.resolve(job_id)
-    run_id = next_run_id(read_audit(spark, logs.audit), "GLUE_JOB_ID", job_id, cycle_id)
+    audit_log = read_audit(spark, logs.audit, cycle_id)
+    run_id = next_run_id(audit_log, "GLUE_JOB_ID", job_id, cycle_id)
     run = Run(cycle_id, run_id, target.dataset_id, job_id, job_name, now)
     with audited(spark, logs, run, target, process) as outcome:
         path = bases.target(target)

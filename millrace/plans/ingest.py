@@ -24,7 +24,7 @@ from millrace.sinks.publish import publish
 from millrace.sources.control import Control
 from millrace.sources.files import latest_file, list_files
 from millrace.sources.raw import has_header, read_raw
-from millrace.sources.stored import read_audit, read_violations
+from millrace.sources.stored import read_audit, read_run
 
 log = logging.getLogger(__name__)
 
@@ -78,10 +78,13 @@ def stage(
         path = own_folder(spark, "hits", target)
         custom_hits(landing, rules).write.mode("overwrite").parquet(path)
         hits = spark.read.parquet(path)
-    write_violations(check(landing, rules, run, strict, hits), logs.violations, run)
+    found = check(landing, rules, run, strict, hits)
+    write_violations(found, logs.violations, run)
     count = publish(flag(landing, rules, strict, hits), target, archive, partitions,
                     run.load_date)
-    found = read_violations(spark, logs.violations, run.dataset_id, run.cycle_id, run.run_id)
+    if not isinstance(logs.violations, dict):
+        # The run's own folder holds each finding once; counting it spares a pass over the rows.
+        found = read_run(spark, logs.violations, run.dataset_id, run.cycle_id, run.run_id)
     summary = summarize(found, rules, run).select(*SUMMARY.names)
     append(summary.coalesce(1), logs.summary, ("CYCLE_ID",))
     return count
@@ -103,7 +106,7 @@ def ingest_dataset(
     now = now or datetime.now()
     cycle_id = f"{now:{fixed.CYCLE_FORMAT}}"
     run_id = next_run_id(
-        read_audit(spark, logs.audit), "DATASET_ID", dataset.dataset_id, cycle_id)
+        read_audit(spark, logs.audit, cycle_id), "DATASET_ID", dataset.dataset_id, cycle_id)
     run = Run(cycle_id, run_id, dataset.dataset_id, dataset.job_id, job_name, now)
     with audited(spark, logs, run, dataset, fixed.INGESTION) as outcome:
         folder, fmt = bases.source(dataset), dataset.file_format

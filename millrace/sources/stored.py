@@ -10,16 +10,21 @@ from millrace.model import AUDIT, VIOLATIONS, Bases, Dataset
 from millrace.sources.local import local_frame
 
 
-def read_table(spark: SparkSession, source: str | dict, schema: StructType) -> DataFrame:
+def read_table(
+    spark: SparkSession, source: str | dict, schema: StructType, **folders
+) -> DataFrame:
     """A Parquet folder or a JDBC table in the given columns and types; none stored gives no rows.
 
     Folders are read with the schema stated, so nothing is inferred from footers or folder names.
+    `folders` are the values of the leading partition columns, in order: only the files of that
+    one subfolder are listed, however many others a log has gathered.
     """
     if isinstance(source, dict):
         stored = spark.read.format("jdbc").options(**source).load()
     else:
         try:
-            stored = spark.read.schema(schema).parquet(source)
+            path = "/".join([source.rstrip("/"), *[f"{k}={v}" for k, v in folders.items()]])
+            stored = spark.read.schema(schema).option("basePath", source).parquet(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -27,18 +32,31 @@ def read_table(spark: SparkSession, source: str | dict, schema: StructType) -> D
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def read_audit(spark: SparkSession, source: str | dict) -> DataFrame:
-    return read_table(spark, source, AUDIT)
+def read_audit(
+    spark: SparkSession, source: str | dict, cycle_id: str | None = None
+) -> DataFrame:
+    """The audit log, or one cycle of it."""
+    if cycle_id is None:
+        return read_table(spark, source, AUDIT)
+    log = read_table(spark, source, AUDIT, CYCLE_ID=cycle_id)
+    return log.where(F.col("CYCLE_ID") == cycle_id)
 
 
-def read_violations(
+def read_run(
     spark: SparkSession, source: str | dict, dataset_id: int, cycle_id: str, run_id: int
 ) -> DataFrame:
-    """One run's violations, each once. The three filters prune folders or go to the database."""
-    log = read_table(spark, source, VIOLATIONS)
-    mine = log.where((F.col("DATASET_ID") == dataset_id) & (F.col("CYCLE_ID") == cycle_id)
+    """One run's violations as stored. The filters name a folder or go to the database."""
+    log = read_table(spark, source, VIOLATIONS,
+                     DATASET_ID=dataset_id, CYCLE_ID=cycle_id, RUN_ID=run_id)
+    return log.where((F.col("DATASET_ID") == dataset_id) & (F.col("CYCLE_ID") == cycle_id)
                      & (F.col("RUN_ID") == run_id))
-    return mine.distinct()
+
+
+def read_violations(
+    spark: SparkSession, source: str | dict, dataset_id: int, cycle_id: str, run_id: int
+) -> DataFrame:
+    """One run's violations, each once, whoever appended them how often."""
+    return read_run(spark, source, dataset_id, cycle_id, run_id).distinct()
 
 
 def load_dependencies(
