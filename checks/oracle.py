@@ -202,6 +202,7 @@ ORACLE: dict[str, str] = {
     "dqm_log": _check(NULL_RULE, DOMAIN_RULE, STATUS_RULE, *LENGTHS),
     "dqm_rollup": f"with {LANDING}, log as ({_log(PLAIN)}) {ROLLUP}",
     "staging_orders": _staging(PLAIN),
+    "staging_orders_ranged": _staging(PLAIN),
     "staging_orders_custom": _staging(ALL),
     "staging_from_log": _staging(ALL),
     "dqm_summary": f"with {LANDING} select * from ({_summary(ALL)}) where ERROR_COUNT > 0",

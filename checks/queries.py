@@ -78,7 +78,8 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf: str) -> DataFrame:
-    return with_row_id(dirty(spark, sf), order_by=["o_orderkey"])
+    """Numbered where they lie: the file holds the orders in key order."""
+    return number_stored_rows(dirty(spark, sf))
 
 
 # --- numbering, mapping ------------------------------------------------------------------
@@ -146,13 +147,13 @@ EVENT_LAYOUT = [("event_type", "KIND"), ("event_id", "ID"), ("user_id", "USER"),
 def read_raw_csv(spark, sf):
     path = _write_raw(_raw_events(spark, sf), "csv", header=True, sep="|", escape='"')
     return apply_mapping(
-        read_raw(spark, path, "csv", "|", header=True, escape='"'), EVENT_LAYOUT)
+        read_raw(spark, path, "csv", "|", header=True), EVENT_LAYOUT)
 
 
 @query
 def read_raw_unheadered(spark, sf):
     path = _write_raw(_raw_events(spark, sf), "csv", sep="\t", escape='"')
-    raw = read_raw(spark, path, "CSV", "\t", header=False, escape='"')
+    raw = read_raw(spark, path, "CSV", "\t", header=False)
     return apply_mapping(raw, [("col2", "KIND"), ("_c0", "ID"), ("col1", "USER"), ("_c3", "PROPS")])
 
 
@@ -272,6 +273,12 @@ def staging_orders(spark, sf):
     return flag(landing(spark, sf), PLAIN_RULES)
 
 
+@query
+def staging_orders_ranged(spark, sf):
+    """The same rows numbered through a range shuffle and a stored landing."""
+    return flag(with_row_id(dirty(spark, sf), order_by=["o_orderkey"]), PLAIN_RULES)
+
+
 @query
 def staging_orders_custom(spark, sf):
     return flag(landing(spark, sf), ALL_RULES)

@@ -100,6 +100,7 @@ def ingest_dataset(
     database: str | None = None,
     partitions: int | str | None = None,
     strict: bool = True,
+    read_options: dict | None = None,
     now: datetime | None = None,
 ) -> Run:
     """Ingest the newest file of one dataset."""
@@ -117,7 +118,7 @@ def ingest_dataset(
                 f"no file like {dataset.file_name_pattern}.{fmt} with a date under {folder}")
         log.info("%s: %s", dataset.dataset_name, newest["path"])
         raw = read_raw(spark, newest["path"], fmt, dataset.file_delimiter,
-                       has_header(dataset.header_flag))
+                       has_header(dataset.header_flag), **(read_options or {}))
         columns = (None if dataset.select_all_fields == fixed.YES
                    else control.layout(dataset.dataset_id))
         target = bases.target(dataset)
@@ -143,6 +144,7 @@ def ingest(
     With more than one worker, that many datasets run side by side in the one session.
     """
     datasets = control.raw_datasets(job_id)
+    log.info("job %s: %s datasets", job_id, len(datasets))
 
     def one(dataset: Dataset) -> Run:
         return ingest_dataset(spark, control, dataset, bases, logs, **options)

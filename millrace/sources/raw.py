@@ -18,13 +18,12 @@ def read_raw(
     """Read a raw file in any format Spark knows by name.
 
     Delimited text is read as text columns, by header or, without one, as `_c0`, `_c1`, ...
+    A quote inside quotes is doubled and a backslash is a plain character; `options` may say
+    otherwise, and may hold any other option of the format.
     """
-    reader = spark.read.format(fmt.lower()).options(**options)
     if fmt.lower() == "csv":
-        reader = reader.option("header", header)
-        if sep:
-            reader = reader.option("sep", sep)
-    return reader.load(path)
+        options = {"header": header, "sep": sep or ",", "escape": '"', **options}
+    return spark.read.format(fmt.lower()).options(**options).load(path)
 
 
 def has_header(flag: str | None) -> bool:

@@ -3,14 +3,13 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
 from millrace import (
     Bases, Control, apply_mapping, latest_file, list_files, load_control, next_run_id, read_raw,
     run_sql, warehouse_columns)
 from millrace.functions.filenames import name_regex
-from millrace.model import AUDIT, COLUMNS, DATASETS, DEPENDENCIES, RULES
+from millrace.model import AUDIT, COLUMNS, DATASETS, DEPENDENCIES, RULES, join_path
 from millrace.operators.mapping import spark_type, warehouse_ddl
+from millrace.settings import own_folder, scratch, work_folder
 from millrace.sinks.warehouse import writer_options
 
 
@@ -79,6 +78,12 @@ def test_read_and_map(spark, tmp_path):
         apply_mapping(raw, [])
 
 
+def test_quotes_and_backslashes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n"x ""y"", z",C:\\d\n"C:\\",2\n')
+    got = read_raw(spark, str(tmp_path / "a.csv"), "csv").collect()
+    assert sorted(got) == [("C:\\", "2"), ('x "y", z', "C:\\d")]
+
+
 def test_unheadered(spark, tmp_path):
     (tmp_path / "a.csv").write_text("1,2\n3,4\n")
     raw = read_raw(spark, str(tmp_path / "a.csv"), "csv", None, False)
@@ -179,10 +184,31 @@ def test_next_run_id(spark):
 
 
 def test_empty_locations_are_refused():
-    bases = Bases("/raw", "/curated", "/processed")
-    with pytest.raises(ValueError):
-        from millrace.model import join_path
-        join_path(bases.curated, "/")
+    for location in ("", "/", None):
+        with pytest.raises(ValueError):
+            join_path("/curated", location)
+    assert join_path("s3a://b/", "/a//b/") == "s3a://b/a/b"
+
+
+class FakeSession:
+    """Just enough of a session to ask for a work folder."""
+
+    def __init__(self, master, folder):
+        settings = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = type("C", (), {"get": lambda _, k, d=None: settings.get(k, d),
+                                   "set": lambda _, k, v: settings.update({k: v})})()
+        self.sparkContext = type("S", (), {"master": master})()
+
+
+def test_work_folder():
+    assert work_folder(FakeSession("yarn", "hdfs:///shared/"), "x") == "hdfs:///shared/millrace/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(FakeSession("yarn", None), "x")
+    local = FakeSession("local[2]", None)
+    assert work_folder(local, "x") == work_folder(local, "x")
+    assert scratch(local, "x") != scratch(local, "x")
+    assert own_folder(local, "landing", "/t/a") == own_folder(local, "landing", "/t/a")
+    assert own_folder(local, "landing", "/t/a") != own_folder(local, "landing", "/t/b")
 
 
 # --- warehouse layout --------------------------------------------------------------------
