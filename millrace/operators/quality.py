@@ -73,8 +73,14 @@ def check(
     run: Run,
     strict: bool = True,
     hits: DataFrame | None = None,
+    compact: bool = False,
 ) -> DataFrame:
-    """The violations log: one row per broken rule and row. `hits`: stored `custom_hits`."""
+    """The violations log: one row per broken rule and row. `hits`: stored `custom_hits`.
+
+    Findings are sparse and come from as many tasks as the landing has. For a log that is to be
+    stored, `compact` evens them out into files of useful size; only pairs of ROW_ID and rule
+    index are shuffled for that, before the texts are attached.
+    """
     rules = ordered(rules)
     plain, custom = _prepare(landing, rules)
     if not rules:
@@ -87,8 +93,11 @@ def check(
         parts.append(landing.select(fixed.ROW_ID, F.explode(broken).alias(RULE)))
     if custom:
         parts.append(hits if hits is not None else custom_hits(landing, rules))
+    found = reduce(DataFrame.unionByName, parts)
+    if compact:
+        found = found.hint("rebalance", F.col(fixed.ROW_ID))  # by key: spares a sort of the rows
     about = F.broadcast(_rule_table(landing.sparkSession, rules, run))
-    return reduce(DataFrame.unionByName, parts).join(about, RULE).select(*VIOLATIONS.names)
+    return found.join(about, RULE).select(*VIOLATIONS.names)
 
 
 def _any(columns: Sequence[Column]) -> Column:

@@ -78,7 +78,7 @@ def stage(
         path = own_folder(spark, "hits", target)
         custom_hits(landing, rules).write.mode("overwrite").parquet(path)
         hits = spark.read.parquet(path)
-    found = check(landing, rules, run, strict, hits)
+    found = check(landing, rules, run, strict, hits, compact=True)
     write_violations(found, logs.violations, run)
     count = publish(flag(landing, rules, strict, hits), target, archive, partitions,
                     run.load_date)

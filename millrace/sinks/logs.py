@@ -24,11 +24,8 @@ def append(df: DataFrame, sink: str | dict, partition_by: Sequence[str] = ()) ->
 def write_violations(log: DataFrame, sink: str | dict, run: Run) -> None:
     """Store one run's violations.
 
-    In a folder they replace what an earlier, failed attempt at the same run left. Findings are
-    sparse and come from as many tasks as the landing has, so they are rebalanced into files of
-    useful size; only the findings are shuffled.
+    In a folder they replace what an earlier, failed attempt at the same run left.
     """
-    log = log.hint("rebalance")
     if isinstance(sink, dict):
         append(log, sink)
         return
