@@ -187,6 +187,7 @@ ORACLE: dict[str, str] = {
     "read_raw_json": EVENTS,
     "read_raw_orc": EVENTS,
     "read_raw_parquet": EVENTS,
+    "list_raw_files": "select distinct event_type from events",
     "latest_file": _latest("%Y%m%d", "true"),
     "latest_file_to_the_second": _latest("%Y%m%d%H%M%S", "event_type in ('click', 'view')"),
     "dqm_null": _check(NULL_RULE),

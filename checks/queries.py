@@ -29,7 +29,7 @@ from millrace.sinks.catalog import register
 from millrace.sinks.logs import RUN_FOLDERS, append, audit, write_violations
 from millrace.sinks.publish import archive_path, publish
 from millrace.sources.control import Control, job_targets, layouts, resolve_dependencies
-from millrace.sources.files import latest_files
+from millrace.sources.files import latest_files, list_files
 from millrace.sources.raw import read_raw
 from millrace.sources.stored import (
     load_dependencies, read_audit, read_table, read_violations)
@@ -179,6 +179,16 @@ def read_raw_parquet(spark, sf):
         read_raw(spark, f"{sf}/events.parquet", "parquet"), EVENT_LAYOUT)
 
 
+@query
+def list_raw_files(spark, sf):
+    """Folders found by listing the files in them."""
+    path = scratch(spark, "raw")
+    _raw_events(spark, sf).write.partitionBy("event_type").json(path)
+    folder = F.regexp_extract("path", "/event_type=([^/]+)/[^/]+$", 1)
+    listed = list_files(spark, path).where(F.col("length") > 0)
+    return listed.select(folder.alias("event_type")).distinct()
+
+
 def _inventory(spark, sf, stamp_format) -> DataFrame:
     name = F.concat_ws("_", "event_type", F.date_format("ts", stamp_format))
     return table(spark, sf, "events").select(

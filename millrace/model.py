@@ -144,6 +144,12 @@ class Logs:
     audit: str | dict
 
 
+def overlaps(path: str, other: str) -> bool:
+    """Whether one folder is the other or lies within it."""
+    a, b = path.rstrip("/") + "/", other.rstrip("/") + "/"
+    return a.startswith(b) or b.startswith(a)
+
+
 def join_path(base: str, location: str | None) -> str:
     """The exact folder `location` names under `base`; refuses to mean `base` itself."""
     parts = [p for p in (location or "").split("/") if p]

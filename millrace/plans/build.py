@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace import fixed
-from millrace.model import Bases, Logs, Run
+from millrace.model import Bases, Logs, Run, overlaps
 from millrace.operators.runs import next_run_id
 from millrace.operators.sqlstep import run_sql
 from millrace.plans.ingest import audited
@@ -53,7 +53,7 @@ def build(
     run = Run(cycle_id, run_id, target.dataset_id, job_id, job_name, now)
     with audited(spark, logs, run, target, process) as outcome:
         path = bases.target(target)
-        if path in [bases.target(s) for s in sources]:
+        if any(overlaps(path, bases.target(s)) for s in sources):
             raise ValueError(f"{target.dataset_name} would overwrite one of its sources")
         result = transform(spark, step, load_dependencies(spark, sources, bases))
         outcome["count"] = publish(result, path, bases.archive(target), partitions, now)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace import fixed
-from millrace.model import join_path
+from millrace.model import join_path, overlaps
 
 REBALANCE = "rebalance"
 
@@ -34,6 +34,8 @@ def publish(
     or what adaptive execution made of a shuffle, so no shuffle is added for them; give a number
     of files or `rebalance` where that does not suit.
     """
+    if archive and overlaps(archive, target):
+        raise ValueError(f"replacing {target} would take the archive {archive} along")
     if partitions == REBALANCE:
         df = df.hint(REBALANCE)
     elif partitions is not None:

@@ -47,6 +47,27 @@ def test_publish_file_numbers(spark, tmp_path, partitions, files):
     assert len(list((tmp_path / "t").glob("*.snappy.parquet"))) == files
 
 
+def test_publish_refuses_an_archive_within_the_target(spark, tmp_path):
+    for target, archive in [("t", "t/old"), ("t/new", "t"), ("t", "t")]:
+        with pytest.raises(ValueError, match="archive"):
+            publish(spark.range(1), str(tmp_path / target), str(tmp_path / archive))
+    publish(spark.range(1), str(tmp_path / "t"), str(tmp_path / "told"))
+
+
+def test_build_refuses_to_overwrite_a_source(spark, tmp_path):
+    def row(i, name, job, folder):
+        return (i, name, "processed", job, "Y", "N", None, None, None, None, None, folder, None, name)
+
+    control = make_control(spark, [row(1, "A", 1, "x/a/"), row(2, "B", 2, "x/")], [(2, 1, "Y")])
+    bases = Bases(*[str(tmp_path)] * 3)
+    logs = Logs(*[str(tmp_path / n) for n in ("d", "s", "log")])
+    publish(spark.range(5), str(tmp_path / "x" / "a"))
+    with pytest.raises(ValueError, match="overwrite"):
+        build(spark, control, 2, "select * from A", bases, logs, now=NOW)
+    assert spark.read.parquet(str(tmp_path / "x" / "a")).count() == 5
+    assert read_audit(spark, logs.audit).first()["PROCESS_STATUS"] == "FAILED"
+
+
 def test_publish_leaves_sibling_folders_alone(spark, tmp_path):
     publish(spark.range(2), str(tmp_path / "ab"))
     publish(spark.range(3), str(tmp_path / "a"))
