@@ -52,6 +52,25 @@ def test_ordered(spark, orders, tmp_path, partitions):
     assert ids(df) == list(range(1, len(got) + 1))
 
 
+def test_ordered_when_adaptive_execution_merges_ranges(spark, orders, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "60",
+                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = with_row_id(orders, str(tmp_path / "l"), [F.desc("o_orderkey")])
+        files = len(list((tmp_path / "l").glob("*.parquet")))
+        assert 1 < files < 60
+        got = [r["o_orderkey"] for r in df.orderBy("ROW_ID").collect()]
+        assert got == sorted(got, reverse=True) and ids(df) == list(range(1, len(got) + 1))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_ordered_ties_keep_the_stored_order_and_a_hot_key_is_split(spark, tmp_path):
     path = str(tmp_path / "hot")
     (spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot")
