@@ -20,6 +20,7 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in named])
 
 
+# Columns of the control and log tables.
 DATASETS = _schema(
     "DATASET_ID int, DATASET_NAME string, DATASET_TYPE string, JOB_ID int, ACTIVE_FLAG string, "
     "SELECT_ALL_FIELDS string, FILE_NAME_PATTERN string, FILE_FORMAT string, "
