@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
 from millrace.llm.fragment_join import near_duplicates
+from millrace.llm.sanitise import digest
+from millrace.llm.winnowing import edit_likeness
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,6 +20,18 @@ def query(function: Callable) -> Callable:
     return function
 
 
+@query
+def op1_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word grams, windows of six: runs of eight words are always found."""
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans, and terms that give an entity away in three contexts or more."""
+    return digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, Jaccard 0.9 or more."""

@@ -1,0 +1,105 @@
+"""Personal data against a plain Python version of the patterns."""
+
+import hashlib
+import re
+from collections import Counter
+
+from millrace.llm.common import table
+from millrace.llm.sanitise import Limits, digest, sanitise
+from tests.conftest import SF
+from tests.llm.cases import documents, frame, prose
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for n, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and max(map(int, m[0].split("."))) > 255:
+                continue
+            if kind == "card" and not (14 <= len(d) <= 19 and luhn(d)):
+                continue
+            if kind == "phone" and not 10 <= len(d) <= 15:
+                continue
+            out.append((m.start(), n, m.end(), kind))
+    return sorted(out)
+
+
+TRICKY = [
+    "a@b.c_d@e.f x@y.z@q.r.s, ..@a.b -@-.- me@x@y.com é@ü.de ana@exämple.com 😀bob@mail.org",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.0255 1.2.3 9.9.9.9x 000300.1.1.1 😀10.0.0.1",
+    "4539 1488 0343 6467 4539148803436467 4539-1488-0343-6467-1 0 12 1-2 79927398713 6011000990139424",
+    "+1 (415) 555-2671 +44 20 7946 0958. +1 +12345678901234567 +49(30)1234567 tel+4930123456789",
+    "+4539 1488 0343 6467 1.2.3.4@5.6 +1.2.3.4.5.6.7.8.9.10",
+    "1" * 30000, "a" * 30000 + "@", ("1 " * 9000).strip(), "@" * 500, "1.2.3.4 " * 800,
+]
+
+
+def test_base_spans(spark):
+    rows = documents(TRICKY)
+    rows += [(10_000 + r["doc_id"], r["text"], None, None, None, None)
+             for r in table(spark, SF, "documents").collect()]
+    got = {r.doc_id: r for r in digest(frame(spark, rows)).collect()}
+    for r in rows:
+        want = plain_spans(r[1])
+        counts = Counter(k for *_, k in want)
+        g = got[r[0]]
+        text = ",".join(f"{k}:{s}:{e}" for s, _, e, k in want)
+        assert g.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), r[1][:200]
+        assert [g.n_email, g.n_ip, g.n_card, g.n_phone] == [counts[k] for k in PLAIN]
+        assert [x for x in g.spans.split(",") if x and not x.startswith("term")] == (
+            text.split(",") if text else [])
+
+
+def test_disclosing_terms(spark):
+    """`zorblat` is used only near one address; `common` everywhere; `once` in one context."""
+    texts = [f"{prose(i, 12)} common zorblat writes from boss@corp.example about {prose(i + 50, 9)}"
+             for i in range(4)]
+    texts.append(f"{prose(7, 9)} once boss@corp.example")
+    texts += [f"{prose(i, 30)} common writes from about" for i in range(100, 140)]
+    texts += [texts[4]] * 5 + ["zorblat alone", None, ""]
+    rows = [(i, t, None, None, 1, None) for i, t in enumerate(texts)]
+    df = frame(spark, rows)
+    spans = {r.doc_id: r.spans for r in digest(df, Limits(support=3, generalise=0.6)).collect()}
+    for i in range(4):
+        places = [x.split(":") for x in spans[i].split(",") if x.startswith("term")]
+        assert [texts[i][int(a):int(b)] for _, a, b in places] == ["zorblat"]
+    assert all("term" not in spans[i] for i in range(4, len(texts)))
+    clean = {r.doc_id: r for r in sanitise(df, Limits(support=3, generalise=0.6)).collect()}
+    assert "zorblat" not in clean[0].text and "[EMAIL]" in clean[0].text and "@" not in clean[0].text
+    assert clean[0].n_chars == len(clean[0].text) and "common" in clean[0].text
+    assert all(clean[i].text == texts[i] and clean[i].n_chars == 1 for i in range(5, 45))
+
+
+def test_sanitise_keeps_the_rest(spark):
+    rows = documents(TRICKY)
+    df = frame(spark, rows)
+    out = {r.doc_id: r for r in sanitise(df).collect()}
+    assert len(out) == len(rows) and sanitise(df).columns == df.columns
+    for r in rows:
+        want, at = "", 0
+        for s, n, e, k in plain_spans(r[1]):
+            if s >= at:
+                want += r[1][at:s] + f"[{k.upper()}]"
+            at = max(at, e)
+        assert out[r[0]].text == (None if r[1] is None else want + r[1][at:])
+
+
+def test_empty_table_and_repeats(spark):
+    assert digest(frame(spark, [])).collect() == [] and sanitise(frame(spark, [])).collect() == []
+    assert sanitise(frame(spark, [(1, "a@b.c", None, None, None, None)] * 3)).count() == 3
