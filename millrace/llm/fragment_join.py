@@ -24,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import stored
 from millrace.llm.graph import components
@@ -32,7 +32,8 @@ from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 
 # Fragments in which overlaps are counted; a row holds one document's segment.
 COUNTED = 8
-SIGNED = "doc_id long, n long, s1 long, s2 long, signatures array<long>"
+SIGNED = ("doc_id long, n long, s1 long, s2 long, band int, need_own int, need_below int, "
+          "signatures array<long>")
 SEGMENT = "doc_id long, fragment int, hashes array<long>"
 
 
@@ -65,48 +66,57 @@ def band_of(n: int, num: int, den: int) -> tuple[int, int]:
     return int(np.searchsorted(bands(num, den, top), n, side="right")) - 1, top
 
 
-def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One value for each segment that a partner could have in common, for the document's own
-    band and for the one below."""
+def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int], np.ndarray]:
+    """The band, and for it and the band below: how many segments a partner has in common at
+    least, and a value for each segment. The lowest bit of a value is the parity of its band."""
     n = len(hashes)
     if not n:
-        return np.empty(0, U64)
+        return 0, [0, 0], np.empty(0, U64)
     band, top = band_of(n, num, den)
     mixed, high = mix(hashes + U64(1)), (hashes >> U64(32))
-    out = []
-    for b in {band, max(band - 1, 0)}:
-        cut, equal = fragments(num, den, b, top)
+    out, needs = [], []
+    for b in (band, band - 1):
+        cut, equal = fragments(num, den, b, top) if b >= 0 else (0, 0)
+        needs.append(0)
         if not cut:
             continue
         at = (high * U64(cut) >> U64(32)).astype(np.int64)
         begins = np.flatnonzero(np.diff(at, prepend=-1))
         there, total = at[begins], np.add.reduceat(mixed, begins)
-        if cut - len(there) >= equal:  # so many are empty that those in common may all be
+        empty = cut - len(there)
+        needs[-1] = max(equal - empty, 1)
+        if empty >= equal:  # so many are empty that those in common may all be
             full = np.zeros(cut, U64)
             full[there] = total
             there, total = np.arange(cut), full
-        out.append(mix(total + mix(U64(cut) + (there.astype(U64) << U64(32)))))
-    return np.concatenate(out) if out else np.empty(0, U64)
+        value = mix(total + mix(U64(cut) + (there.astype(U64) << U64(32))))
+        out.append(value >> U64(1) << U64(1) | U64(b & 1))
+    return band, needs, np.concatenate(out) if out else np.empty(0, U64)
 
 
 def _sign(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, bounds in text_bytes(batch.column(1)):
-                n, s1, s2, signs = [], [], [], []
+                n, s1, s2, signs, band, needs = [], [], [], [], [], []
                 for hashes in shingle_sets(data, bounds, k):
                     n.append(len(hashes))
                     s1.append(mix(hashes).sum(dtype=U64))
                     s2.append(mix(hashes ^ U64(0x5555555555555555)).sum(dtype=U64))
-                    signs.append(signatures(hashes, num, den))
+                    of, need, values = signatures(hashes, num, den)
+                    band.append(of)
+                    needs.append(need)
+                    signs.append(values)
                 ends = np.cumsum([0] + [len(x) for x in signs], dtype=np.int32)
                 flat = np.concatenate(signs) if signs else np.empty(0, U64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(n)), pa.array(n, pa.int64()),
                     pa.array(np.array(s1, U64).view(np.int64)),
-                    pa.array(np.array(s2, U64).view(np.int64)),
+                    pa.array(np.array(s2, U64).view(np.int64)), pa.array(band, pa.int32()),
+                    *(pa.array([x[i] for x in needs], pa.int32()) for i in (0, 1)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                    names=["doc_id", "n", "s1", "s2", "signatures"])
+                    names=["doc_id", "n", "s1", "s2", "band", "need_own", "need_below",
+                           "signatures"])
     return run
 
 
@@ -151,6 +161,31 @@ def linked(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFra
     ).select("a", "b")
 
 
+def _candidates(met: DataFrame, about: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b, n_a, n_b of the pairs that meet in as many segments as a linked pair has to.
+
+    met: a, b, sign, a row for each segment in common; about: rep, n, band, need_own, need_below.
+    """
+    def side(x: str) -> DataFrame:
+        return about.select(F.col("rep").alias(x), *(
+            F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "need_own", "need_below")))
+
+    odd = F.pmod("sign", F.lit(2))
+    counted = met.groupBy("a", "b").agg(
+        F.sum(odd).alias("_odd"), F.sum(1 - odd).alias("_even"))
+    band = F.least("band_a", "band_b")
+
+    def need(x: str) -> Column:
+        return F.when(F.col(f"band_{x}") == band, F.col(f"need_own_{x}")).otherwise(
+            F.col(f"need_below_{x}"))
+
+    shared = F.when(F.pmod(band, F.lit(2)) == 1, F.col("_odd")).otherwise(F.col("_even"))
+    return (counted.join(side("a"), "a").join(side("b"), "b")
+            .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+            .where(shared >= F.greatest(need("a"), need("b"), F.lit(1)))
+            .select("a", "b", "n_a", "n_b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Components of documents whose k-word shingle sets have Jaccard num/den or more.
 
@@ -163,37 +198,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign(k, num, den), SIGNED), "signed")
+    detail = F.struct("signatures", "band", "need_own", "need_below")
     classes = (signed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
-               .agg(F.min("doc_id").alias("rep"), F.min_by("signatures", "doc_id").alias("signs")))
+               .agg(F.min("doc_id").alias("rep"), F.min_by(detail, "doc_id").alias("_d"))
+               .select("s1", "s2", "n", "rep", "_d.*"))
     by_sign = Window.partitionBy("sign")
     groups = stored(
-        classes.select("rep", "n", F.explode("signs").alias("sign"))
-        .select("rep", "n", "sign", F.count(F.lit(1)).over(by_sign).alias("_m"),
-                F.min(F.struct("rep", "n")).over(by_sign).alias("hub"))
-        .where("_m > 1").drop("_m"), "groups")
+        classes.select("rep", F.explode("signatures").alias("sign"))
+        .withColumn("_m", F.count(F.lit(1)).over(by_sign)).where("_m > 1"), "groups")
+    # The class that has most in common with the others comes first: of several versions of one
+    # text it is the least altered, to which the rest is linked if to anything.
+    ranked = groups.groupBy("rep").agg(F.sum("_m").alias("popular"))
+    about = stored(ranked.join(
+        classes.select("rep", "n", "band", "need_own", "need_below"), "rep"), "about")
+    members = groups.select("rep", "sign").join(about.select("rep", "popular"), "rep")
     segments = stored(
-        texts.join(groups.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        texts.join(about.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         .select("doc_id", "text").mapInArrow(_cut(k), SEGMENT), "segments")
-    sizes_fit = (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-    first = (groups.where("rep <> hub.rep").select(
-                F.col("hub.rep").alias("a"), F.col("rep").alias("b"),
-                F.col("hub.n").alias("n_a"), F.col("n").alias("n_b"))
-             .where(sizes_fit).distinct())
+    hub = F.max(F.struct("popular", (-F.col("rep")).alias("_r"))).over(by_sign)["_r"]
+    stars = members.select("sign", (-hub).alias("a"), F.col("rep").alias("b")).where("a <> b")
+    first = stored(_candidates(stars, about, num, den), "first")
     links = stored(linked(first, segments, num, den), "links")
     found = components(links)
-    placed = groups.select("rep", "n", "sign").join(
+    placed = groups.select("rep", "sign").join(
         found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "sign", "rep", "n", F.coalesce("component", "rep").alias("c"))
+        "sign", "rep", F.coalesce("component", "rep").alias("c"))
     split = placed.groupBy("sign").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
         "_x < _y").select("sign")
     open_groups = stored(placed.join(split, "sign", "left_semi"), "open")
-    second = (open_groups.select("sign", F.col("rep").alias("a"), F.col("n").alias("n_a"),
-                                 F.col("c").alias("_c"))
-              .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("n").alias("n_b"),
-                                       F.col("c").alias("_d")), "sign")
-              .where("a < b and _c <> _d").where(sizes_fit)
-              .select("a", "b", "n_a", "n_b").distinct()
-              .join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    met = (open_groups.select("sign", F.col("rep").alias("a"), F.col("c").alias("_c"))
+           .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d")), "sign")
+           .where("a < b and _c <> _d").select("sign", "a", "b"))
+    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = _candidates(met, about, num, den).join(tested, ["a", "b"], "left_anti")
     more = stored(linked(second, segments, num, den), "links")
     whole = components(links.union(more))
     named = classes.select("s1", "s2", "n", "rep").join(
