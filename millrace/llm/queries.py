@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import table
+from millrace.llm.buckets import pack_buckets
+from millrace.llm.fair_mix import mix
 from millrace.llm.fragment_join import near_duplicates
+from millrace.llm.language_mix import identify
 from millrace.llm.sanitise import digest
+from millrace.llm.topk import top_k
+from millrace.llm.training_order import materialise
+from millrace.llm.vector_shards import pack_shards
 from millrace.llm.winnowing import edit_likeness
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,12 +32,67 @@ def op1_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words as tokens, sequences of at most 2,048, 16 buckets, batches of 65,536."""
+    return pack_buckets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 shards of nearly equal bytes, tokens and rows."""
+    rows = pack_shards(table(spark, sf_dir, "documents"), 16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
+                       F.col("shard").cast("int").alias("shard"), "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
+@query
+def op4_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 1, 2, 3, ... by source; at most three passes over a source."""
+    return mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans, and terms that give an entity away in three contexts or more."""
     return digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector against all others, the ten best."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op6_tiled_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v
+  from embeddings),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_dot_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id)
+                        as integer) as rank, vec_id, score
+  from scored)
+select * from ranked where rank <= 10
+"""
+
+
+@query
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids, sequences of 512, 8,192 records a file."""
+    return materialise(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from four fifths of the documents, predicts all of them."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, Jaccard 0.9 or more."""
