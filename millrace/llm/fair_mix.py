@@ -147,3 +147,19 @@ def mix(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17
                         "source_size"), F.coalesce("target", F.lit(0.0)).alias("target"),
                     (F.col("size") * F.col("_n")).cast("long").alias("taken"), "source",
                     F.col("_n").cast("int").alias("times")))
+
+
+def mixed(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17) -> DataFrame:
+    """The rows of `docs`, with all columns, each as often as the mix takes it.
+
+    doc_id identifies a document: of repeated rows each is repeated by its own share. Sizes are
+    those of `mix`; rows that are not taken go.
+    """
+    taken = stored(mix(docs, repeats, weights, seed).where("times > 0").groupBy("doc_id").agg(
+        F.sum("times").alias("_all"), F.count(F.lit(1)).alias("_rows")), "taken")
+    # The same number for each row with an id; ids are unique but for repeated rows.
+    rows = docs.join(taken.withColumnRenamed("doc_id", "_id"),
+                     F.col("doc_id").eqNullSafe(F.col("_id")))
+    again = F.explode(F.sequence(F.lit(1), F.greatest(
+        F.floor(F.col("_all") / F.col("_rows")), F.lit(1)).cast("int")))
+    return rows.withColumn("_again", again).select(*docs.columns)

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import table
+from millrace.llm import attention
 from millrace.llm.buckets import pack_buckets
 from millrace.llm.fair_mix import mix
 from millrace.llm.fragment_join import near_duplicates
-from millrace.llm.language_mix import identify
+from millrace.llm.language_mix import fold, identify
 from millrace.llm.sanitise import digest
 from millrace.llm.topk import top_k
 from millrace.llm.training_order import materialise
@@ -81,6 +82,17 @@ select * from ranked where rank <= 10
 """
 
 
+@query
+def op7_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from at most 4,000 labelled documents outside the held-out fold; scores all."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = fold(F.col("doc_id"))
+    model = attention.fit(docs.where(~held), labels.where(~held))
+    return attention.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "passages", "attention")
+
+
 @query
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair ids, sequences of 512, 8,192 records a file."""
