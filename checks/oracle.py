@@ -236,6 +236,25 @@ ORACLE: dict[str, str] = {
         from customer left join (select o_orderkey,
           case o_orderkey % 3 when 0 then 1 else o_custkey * 2 end as k from orders)
         on k = c_custkey""",
+    "heavy_join_mixed_types": """with l as (
+          select o_orderkey, cast(case when o_orderkey % 2 = 0 then 7 else o_custkey end as bigint) as k
+          from orders),
+        r as (select c_custkey as c, case when c_custkey % 10 = 0 then 7 else c_custkey end as v
+          from customer)
+        select o_orderkey, k, count(*) as n, cast(sum(r.c) as bigint) as dk,
+          cast(sum(e.c) as bigint) as ek
+        from l left join r on k = r.v left join (select * from r where c % 3 = 0) e on k = e.v
+        group by 1, 2""",
+    "heavy_join_light_pairs": """select o_orderkey, k, s_suppkey, r
+        from (select o_orderkey, o_orderkey % 40 as k from orders)
+        left join (select s_suppkey, s_suppkey % 40 as r from supplier) on k = r""",
+    "fact_heavy_keys": f"""with {PEOPLE.replace("hcp as", "cool_hcp as", 1).replace(
+          "affil as", "cool_affil as", 1)},
+        hcp as (select * replace (case when cast(ID as bigint) % 4 = 0 then '3' else NPI end as NPI)
+          from cool_hcp),
+        affil as (select * replace (case when cast(ID as bigint) % 9 = 0 then '3' else HCP_NPI end
+          as HCP_NPI) from cool_affil),
+        {FACT} select * from fact""",
     "fact_customer_rows": f"with {PEOPLE}, {FACT} select * from fact",
     "fact_customer_by_sql": f"""with {PEOPLE}
         select distinct h.*, a.HCO_ID, d.CITY from hcp h

@@ -13,7 +13,7 @@ from millrace.functions.text import full_name, one_line_address
 from millrace.model import (
     COLUMNS, DATASETS, DEPENDENCIES, RULES, SUMMARY, VIOLATIONS, Bases, Dataset, Logs,
     Rule, Run)
-from millrace.operators.joins import heavy_keys, left_join
+from millrace.operators.joins import left_join
 from millrace.operators.mapping import apply_mapping, warehouse_columns
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import (
@@ -417,8 +417,7 @@ def heavy_left_join(spark, sf):
         "o_orderkey", F.when(o_key % 3 == 0, F.lit(1).cast("bigint"))
         .when(o_key % 3 == 1, F.col("o_custkey")).alias("k"))
     right = table(spark, sf, "customer").select("c_custkey", "c_name")
-    heavy = heavy_keys((left, "k"), (right, "c_custkey"), cell_rows=500)
-    return left_join(left, right, "k", "c_custkey", *heavy, cell_rows=500)
+    return left_join(left, right, "k", "c_custkey", cell_rows=500)
 
 
 @query
@@ -428,8 +427,44 @@ def heavy_right_join(spark, sf):
     right = table(spark, sf, "orders").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint"))
         .otherwise(F.col("o_custkey") * 2).alias("k"))
-    heavy = heavy_keys((left, "c_custkey"), (right, "k"), cell_rows=500)
-    return left_join(left, right, "c_custkey", "k", *heavy, cell_rows=500)
+    return left_join(left, right, "c_custkey", "k", cell_rows=500)
+
+
+@query
+def heavy_join_mixed_types(spark, sf):
+    """A bigint key against a double and a decimal one, heavy on both sides."""
+    key = F.col("o_orderkey")
+    left = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(key % 2 == 0, 7).otherwise(F.col("o_custkey")).cast("bigint").alias("k"))
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 10 == 0, 7).otherwise(F.col("c_custkey")).alias("v"))
+    doubles = customers.select(F.col("v").cast("double").alias("d"), F.col("c_custkey").alias("dk"))
+    decimals = customers.where("c_custkey % 3 = 0").select(
+        F.col("v").cast("decimal(12,2)").alias("e"), F.col("c_custkey").alias("ek"))
+    joined = left_join(left, doubles, "k", "d", cell_rows=200, cell_pairs=5_000)
+    return left_join(joined, decimals, "k", "e", cell_rows=2_000, cell_pairs=50_000).groupBy(
+        "o_orderkey", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("dk").alias("dk"),
+                               F.sum("ek").alias("ek"))
+
+
+@query
+def heavy_join_light_pairs(spark, sf):
+    """Keys light on each side whose pairs are many."""
+    left = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") % 40).alias("k"))
+    right = table(spark, sf, "supplier").select(
+        "s_suppkey", (F.col("s_suppkey") % 40).alias("r"))
+    return left_join(left, right, "k", "r", cell_pairs=50)
+
+
+@query
+def fact_heavy_keys(spark, sf):
+    """The fact with heavy keys, NULL keys and repeated rows, each key split."""
+    hcp, affil, addr = people(spark, sf)
+    hot = F.when(F.col("ID").cast("bigint") % 4 == 0, "3").otherwise(F.col("NPI"))
+    affil = affil.withColumn("HCP_NPI", F.when(
+        F.col("ID").cast("bigint") % 9 == 0, "3").otherwise(F.col("HCP_NPI")))
+    return fact_customer(hcp.withColumn("NPI", hot), affil, addr, cell_rows=4, cell_pairs=40)
 
 
 @query

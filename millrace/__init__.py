@@ -1,7 +1,7 @@
 """Control-table-driven batch ETL and data-quality checks on Spark DataFrames."""
 
 from millrace.model import Bases, Dataset, Logs, Rule, Run
-from millrace.operators.joins import Heavy, heavy_keys, left_join
+from millrace.operators.joins import joined_counts, key_counts, left_join
 from millrace.operators.mapping import apply_mapping, warehouse_columns
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import (
@@ -21,9 +21,9 @@ from millrace.sources.raw import read_raw
 from millrace.sources.stored import load_dependencies, read_audit, read_violations
 
 __all__ = [
-    "Bases", "Control", "Dataset", "Heavy", "Logs", "Rule", "Run", "append", "apply_mapping", "audit",
-    "build", "check", "custom_hits", "fact_customer", "flag", "flag_from_log", "heavy_keys",
-    "ingest", "latest_file", "latest_files", "left_join", "list_files", "load_control",
+    "Bases", "Control", "Dataset", "Logs", "Rule", "Run", "append", "apply_mapping", "audit",
+    "build", "check", "custom_hits", "fact_customer", "flag", "flag_from_log", "ingest", "joined_counts", "key_counts",
+    "latest_file", "latest_files", "left_join", "list_files", "load_control",
     "load_dependencies", "next_run_id", "next_run_ids", "number_stored_rows", "publish",
     "publish_jdbc", "read_audit", "read_raw", "read_violations", "register",
     "report_address", "report_affiliation", "rollup", "run_sql", "summarize",

@@ -3,8 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from millrace import fact_customer, heavy_keys, left_join, report_address, report_affiliation
-from millrace.operators.joins import Heavy
+from millrace import fact_customer, left_join, report_address, report_affiliation
 from tests.conftest import plan_of
 
 KEYS = st.sampled_from([None, "a", "a", "a", "b", "b", "c", "d"])
@@ -17,12 +16,11 @@ def pairs(df):
 @settings(max_examples=12, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(left=st.lists(KEYS, max_size=25), right=st.lists(KEYS, max_size=25),
-       cell=st.integers(1, 4))
-def test_any_keys(spark, left, right, cell):
+       cell=st.integers(1, 4), most=st.integers(1, 30))
+def test_any_keys(spark, left, right, cell, most):
     a = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "i int, k string")
     b = spark.createDataFrame([(i, k) for i, k in enumerate(right)], "j int, r string")
-    heavy = heavy_keys((a, "k"), (b, "r"), share=0.1, cell_rows=2)
-    got = left_join(a, b, "k", "r", *heavy, cell_rows=cell)
+    got = left_join(a, b, "k", "r", cell_rows=cell, cell_pairs=most)
     assert pairs(got) == pairs(a.join(b, a.k == b.r, "left"))
 
 
@@ -30,30 +28,58 @@ def test_heavy_on_both_sides_and_absent_on_the_right(spark):
     a = spark.range(300).selectExpr("id", "case when id % 3 = 0 then 1L when id % 3 = 1 then 2L "
                                           "when id % 2 = 0 then null else id end as k")
     b = spark.range(90).selectExpr("id as rid", "case when id % 3 = 0 then 1L else id end as r")
-    left, right = heavy_keys((a, "k"), (b, "r"), cell_rows=10)
-    assert left.keys == {"1": 100, "2": 100} and left.nulls
-    assert right.keys == {"1": 31}
-    got = left_join(a, b, "k", "r", left, right, cell_rows=10)
-    assert pairs(got) == pairs(a.join(b, a.k == b.r, "left"))
-    only_left = left_join(a, b.where("r <> 2"), "k", "r", left, right, cell_rows=10)
-    assert pairs(only_left) == pairs(a.join(b.where("r <> 2"), a.k == b.r, "left"))
+    for right in (b, b.where("r <> 2"), b.where("r > 1000")):
+        got = left_join(a, right, "k", "r", cell_rows=10)
+        assert pairs(got) == pairs(a.join(right, a.k == right.r, "left"))
+
+
+@pytest.mark.parametrize("left,right", [
+    ("bigint", "double"), ("double", "bigint"), ("bigint", "decimal(12,2)"), ("int", "bigint"),
+    ("float", "double"), ("decimal(10,1)", "decimal(20,4)"), ("double", "double"),
+    ("date", "timestamp"), ("string", "string")])
+@pytest.mark.parametrize("cell", [10, 10_000])
+def test_keys_of_any_pair_of_types(spark, left, right, cell):
+    """Half the rows on one key: values compare as in a plain join, and no left row is lost."""
+    make = "date_add(date'2024-01-01', cast({} as int))" if left == "date" else "{}"
+    key = make.format("case when id % 2 = 0 then 0 else id end")
+    a = spark.range(400).selectExpr("id", f"cast({key} as {left}) as k")
+    b = spark.range(60).selectExpr("id as rid", f"cast({make.format('id % 20')} as {right}) as r")
+    if right == "double":
+        b = b.selectExpr("rid", "case when r = 0 then -r else r end as r")
+    got = pairs(left_join(a, b, "k", "r", cell_rows=cell, cell_pairs=cell * 10))
+    assert got == pairs(a.join(b, a.k == b.r, "left"))
+    assert len({x.split(",")[0] for x in got}) == 400
+
+
+def test_key_below_any_share_of_the_rows_is_split(spark):
+    a = spark.range(100_000).selectExpr("id", "case when id < 1900 then 0 else id end as k")
+    b = spark.range(10).selectExpr("id as r")
+    rows = left_join(a, b, "k", "r", cell_rows=100)
+    assert rows.count() == 100_000 and "_row_cell" in plan_of(rows)
+
+
+def test_small_keys_are_not_split(spark):
+    a = spark.range(100).selectExpr("id", "1L as k")
+    assert "_row_cell" not in plan_of(left_join(a, spark.range(5).selectExpr("id as r"), "k", "r"))
 
 
-def test_small_keys_are_not_heavy(spark):
-    a = spark.range(100).selectExpr("id", "1L as k")
-    assert heavy_keys((a, "k")) == [Heavy()]
+def test_keys_without_a_common_type(spark):
+    a = spark.range(3).selectExpr("id", "array(id) as k")
+    with pytest.raises(TypeError, match="common type"):
+        left_join(a, spark.range(3).selectExpr("id as r"), "k", "r")
 
 
 def test_cells_stay_in_the_join_keys(spark):
     """A folded cell column would put a heavy key's rows back into one task."""
-    a = spark.range(100).selectExpr("id", "case when id % 2 = 0 then id end as k")
     b = spark.range(100).selectExpr("id as rid", "id as r")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for heavy in (Heavy(nulls=True), Heavy(keys={"1": 50})):
-            plan = plan_of(left_join(a, b, "k", "r", heavy, Heavy(), cell_rows=10))
-            lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-            assert len(lines) == 2 and all("_row_cell" in line for line in lines)
+        for key in ("case when id % 2 = 0 then id end", "case when id % 2 = 0 then id else 1 end"):
+            a = spark.range(100).selectExpr("id", f"{key} as k")
+            plan = plan_of(left_join(a, b, "k", "r", cell_rows=10))
+            lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line
+                     and "_row" in line.split("ENSURE")[0]]
+            assert len(lines) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -89,14 +115,13 @@ def test_fact_fans_out_and_keeps_the_unmatched(people):
     assert fact.distinct().count() == len(rows)
 
 
-@pytest.mark.parametrize("heavy", [
-    (Heavy({"N1": 3}), Heavy({"N1": 3}), Heavy({"N1": 2})), (Heavy(nulls=True), Heavy(), Heavy())])
-def test_fact_is_the_same_with_heavy_keys(people, heavy):
-    assert pairs(fact_customer(*people, heavy=heavy)) == pairs(fact_customer(*people))
+@pytest.mark.parametrize("cells", [(1, 1), (2, 3), (1, 100)])
+def test_fact_is_the_same_with_heavy_keys(people, cells):
+    assert pairs(fact_customer(*people, *cells)) == pairs(fact_customer(*people))
 
 
 def test_fact_shuffles_no_joined_rows_for_distinct(people):
-    plan = plan_of(fact_customer(*people, heavy=(Heavy(), Heavy(), Heavy())))
+    plan = plan_of(fact_customer(*people))
     top = plan[:plan.index("Join")]
     assert "HashAggregate" not in top and "Exchange" not in top
 
