@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.text import column
 
@@ -22,7 +24,9 @@ WAREHOUSE_TYPES = {
     "int4": "int",
     "int8": "bigint",
     "nvarchar": "varchar",
-    "text": "varchar(256)",
+    "char varying": "varchar",
+    # Spark's writer spells both one way; it sends instants, and the zone is the session's.
+    "timestamp with time zone": "timestamp",
     "timestamp without time zone": "timestamp",
     "timestamptz": "timestamp",
 }
@@ -55,8 +59,14 @@ def apply_mapping(df: DataFrame, columns: Sequence[tuple[str, str]] | None) -> D
 def spark_type(declared: str) -> str:
     """A declared warehouse type as Spark reads it."""
     name, size = re.fullmatch(r"\s*([^(]+?)\s*(\(.*\))?\s*", declared.lower()).groups()
-    name = WAREHOUSE_TYPES.get(name, name)
-    return name if size is None else name.split("(")[0] + size.replace("max", "65535")
+    kind = WAREHOUSE_TYPES.get(name, name) + (size or "").replace(" ", "")
+    if kind in ("char", "varchar", "text") or kind.endswith("(max)"):
+        raise ValueError(f"column type {declared!r} needs a length")
+    try:
+        StructType.fromDDL(f"c {kind}")
+    except PySparkException as e:
+        raise ValueError(f"column type {declared!r} is not known") from e
+    return kind
 
 
 def warehouse_ddl(columns: Sequence[tuple[str, str]]) -> str:

@@ -12,5 +12,5 @@ def next_run_ids(log: DataFrame, key: str) -> DataFrame:
 
 def next_run_id(log: DataFrame, key: str, value: int, cycle_id: str) -> int:
     """Next run id of one dataset or job in one cycle; 1 when it has not run yet."""
-    mine = log.where((F.col(key) == value) & (F.col("CYCLE_ID") == cycle_id))
-    return mine.agg(F.coalesce(F.max("RUN_ID") + 1, F.lit(1)).alias("n")).first()["n"]
+    mine = next_run_ids(log.where((F.col(key) == value) & (F.col("CYCLE_ID") == cycle_id)), key)
+    return mine.agg(F.coalesce(F.max("MAX_RUN_ID"), F.lit(1)).alias("n")).first()["n"]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace import fixed
 from millrace.model import Bases, Logs, Run, overlaps
+from millrace.operators.mapping import warehouse_ddl
 from millrace.operators.runs import next_run_id
 from millrace.operators.sqlstep import run_sql
 from millrace.plans.ingest import audited
@@ -47,11 +48,14 @@ def build(
     """
     now = now or datetime.now()
     cycle_id = f"{now:{fixed.CYCLE_FORMAT}}"
-    target, sources = control.resolve(job_id)
+    target = control.target(job_id)
     audit_log = read_audit(spark, logs.audit, cycle_id)
     run_id = next_run_id(audit_log, "GLUE_JOB_ID", job_id, cycle_id)
     run = Run(cycle_id, run_id, target.dataset_id, job_id, job_name, now)
     with audited(spark, logs, run, target, process) as outcome:
+        sources = control.sources_of(target, job_id)
+        declared = control.declared_types(target.dataset_id) if warehouse else []
+        warehouse_ddl(declared)  # an unknown type fails before anything is published
         path = bases.target(target)
         if any(overlaps(path, bases.target(s)) for s in sources):
             raise ValueError(f"{target.dataset_name} would overwrite one of its sources")
@@ -60,6 +64,5 @@ def build(
         if database:
             register(spark, f"{database}.{target.target_table_name}", path)
         if warehouse:
-            publish_jdbc(spark.read.parquet(path), control.declared_types(target.dataset_id),
-                         warehouse)
+            publish_jdbc(spark.read.parquet(path), declared, warehouse)
     return run

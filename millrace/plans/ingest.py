@@ -36,7 +36,7 @@ def audited(spark: SparkSession, logs: Logs, run: Run, dataset: Dataset, process
     try:
         yield outcome
     except Exception as e:
-        audit(spark, logs.audit, run, dataset, process, fixed.FAILED, 0, str(e)[:1000])
+        audit(spark, logs.audit, run, dataset, process, fixed.FAILED, 0, str(e))
         raise
     audit(spark, logs.audit, run, dataset, process, fixed.SUCCESS, outcome["count"])
     log.info("%s: %s rows", dataset.dataset_name, outcome["count"])
@@ -117,10 +117,11 @@ def ingest_dataset(
             raise FileNotFoundError(
                 f"no file like {dataset.file_name_pattern}.{fmt} with a date under {folder}")
         log.info("%s: %s", dataset.dataset_name, newest["path"])
-        raw = read_raw(spark, newest["path"], fmt, dataset.file_delimiter,
-                       has_header(dataset.header_flag), **(read_options or {}))
         columns = (None if dataset.select_all_fields == fixed.YES
                    else control.layout(dataset.dataset_id))
+        raw = read_raw(spark, newest["path"], fmt, dataset.file_delimiter,
+                       has_header(dataset.header_flag), columns is not None,
+                       **(read_options or {}))
         target = bases.target(dataset)
         outcome["count"] = stage(
             land(spark, dataset, raw, columns, target), control.rule_list(dataset.dataset_id),
@@ -141,15 +142,22 @@ def ingest(
 ) -> list[Run]:
     """Ingest every active raw dataset of a job; `options` as for `ingest_dataset`.
 
-    With more than one worker, that many datasets run side by side in the one session.
+    `workers` datasets run side by side in the one session. All are tried, whatever happens to the
+    others; the failures are raised together at the end.
     """
     datasets = control.raw_datasets(job_id)
     log.info("job %s: %s datasets", job_id, len(datasets))
 
-    def one(dataset: Dataset) -> Run:
-        return ingest_dataset(spark, control, dataset, bases, logs, **options)
+    def one(dataset: Dataset) -> Run | Exception:
+        try:
+            return ingest_dataset(spark, control, dataset, bases, logs, **options)
+        except Exception as e:
+            log.exception("%s failed", dataset.dataset_name)
+            return e
 
-    if workers == 1:
-        return [one(d) for d in datasets]
     with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(one), datasets))
+        done = list(pool.map(inheritable_thread_target(spark)(one), datasets))
+    failed = [x for x in done if isinstance(x, Exception)]
+    if failed:
+        raise ExceptionGroup(f"job {job_id}: {len(failed)} of {len(datasets)} datasets", failed)
+    return done

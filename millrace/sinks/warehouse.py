@@ -8,14 +8,10 @@ from pyspark.sql import DataFrame
 
 from millrace.operators.mapping import warehouse_columns, warehouse_ddl
 
-# Connections a publish may open at once; the caller's options may set another number.
-CONNECTIONS = 32
-
 
 def writer_options(columns: Sequence[tuple[str, str]], options: dict) -> dict:
     """Caller's JDBC options plus the declared column types."""
     return {
-        "numPartitions": CONNECTIONS,
         "createTableColumnTypes": warehouse_ddl(columns),
         **options,
     }

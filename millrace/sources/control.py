@@ -27,7 +27,8 @@ def job_targets(datasets: DataFrame) -> DataFrame:
 
 def layouts(columns: DataFrame, datasets: DataFrame) -> DataFrame:
     """Column metadata of the given datasets."""
-    return columns.join(datasets.select("DATASET_ID", "DATASET_NAME"), "DATASET_ID")
+    return columns.join(datasets.select("DATASET_ID", "DATASET_NAME"), "DATASET_ID").orderBy(
+        "DATASET_ID", "COLUMN_SEQUENCE_NUMBER")
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,9 @@ class Control:
             F.col("DATASET_TYPE") == dataset_type)
 
     def columns(self, dataset_id: int) -> DataFrame:
-        return (self.all_columns.where(F.col("DATASET_ID") == dataset_id)
-                .orderBy("COLUMN_SEQUENCE_NUMBER"))
+        one = self.all_datasets.where(F.col("DATASET_ID") == dataset_id).dropDuplicates(
+            ["DATASET_ID"])
+        return layouts(self.all_columns.where(F.col("DATASET_ID") == dataset_id), one)
 
     def rules(self, dataset_id: int) -> DataFrame:
         return self.all_rules.where(
@@ -79,30 +81,35 @@ class Control:
 
     def target(self, job_id: int) -> Dataset:
         """The one dataset a job builds."""
-        found = self.all_datasets.where(F.col("JOB_ID") == job_id).limit(2).collect()
-        if len(found) != 1:
+        mine = self.all_datasets.where(F.col("JOB_ID") == job_id)
+        found = mine.join(job_targets(mine), ["JOB_ID", "DATASET_ID"], "left_semi").collect()
+        if not found:
             raise LookupError(f"job {job_id} must have one target dataset, it has "
-                              f"{'none' if not found else 'several'}")
+                              f"{'none' if mine.isEmpty() else 'several'}")
         return _dataset(found[0])
 
     def sources(self, job_id: int) -> list[Dataset]:
         """The datasets a job reads."""
+        mine = self.dependencies(job_id)
         wanted = [r["SOURCE_DATASET_ID"] for r in
-                  self.dependencies(job_id).select("SOURCE_DATASET_ID").distinct().collect()]
-        found = [_dataset(r) for r in
-                 self.all_datasets.where(F.col("DATASET_ID").isin(*wanted)).collect()]
+                  mine.select("SOURCE_DATASET_ID").distinct().collect()]
+        names = [F.col("SOURCE_JOB_ID").alias("JOB_ID") if c == "JOB_ID" else
+                 self.all_datasets[c] for c in DATASETS.names]
+        found = [_dataset(r) for r in resolve_dependencies(
+            mine.select("SOURCE_DATASET_ID").distinct(), self.all_datasets).select(
+                *names).collect()]
         ids = [d.dataset_id for d in found]
         wrong = sorted(w for w in wanted if ids.count(w) != 1)
         if wrong or not wanted:
             raise LookupError(f"job {job_id}: source datasets missing or not unique: {wrong}")
         return sorted(found, key=lambda d: d.dataset_id)
 
-    def resolve(self, job_id: int) -> tuple[Dataset, list[Dataset]]:
-        """Target and sources of a job. A job may not overwrite what it reads."""
-        target, sources = self.target(job_id), self.sources(job_id)
+    def sources_of(self, target: Dataset, job_id: int) -> list[Dataset]:
+        """Sources of a job with this target. A job may not overwrite what it reads."""
+        sources = self.sources(job_id)
         if target.dataset_id in [s.dataset_id for s in sources]:
             raise ValueError(f"job {job_id} reads its own target {target.dataset_name}")
-        return target, sources
+        return sources
 
 
 def _dataset(row) -> Dataset:
@@ -110,10 +117,13 @@ def _dataset(row) -> Dataset:
 
 
 def load_control(spark: SparkSession, source: str | dict) -> Control:
-    """Control tables as Parquet folders under a base folder, or as tables of one database."""
+    """Control tables as Parquet folders under a base folder, or as tables of one database.
+
+    A missing table is an error.
+    """
     def table(name, schema):
         where = {**source, "dbtable": name} if isinstance(source, dict) else join_path(source, name)
-        return read_table(spark, where, schema)
+        return read_table(spark, where, schema, must_exist=True)
 
     return Control(
         table(fixed.DATASET_TABLE, DATASETS), table(fixed.COLUMN_TABLE, COLUMNS),

@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace import fixed
 
 
+AS_TEXT = {"json": {"primitivesAsString": True}, "xml": {"inferSchema": False}}
+
+
 def read_raw(
     spark: SparkSession,
     path: str | list[str],
     fmt: str,
     sep: str | None = None,
     header: bool = True,
+    as_text: bool = False,
     **options,
 ) -> DataFrame:
     """Read a raw file in any format Spark knows by name.
@@ -20,7 +24,12 @@ def read_raw(
     Delimited text is read as text columns, by header or, without one, as `_c0`, `_c1`, ...
     A quote inside quotes is doubled and a backslash is a plain character; `options` may say
     otherwise, and may hold any other option of the format.
+
+    `as_text` keeps the values of JSON and XML as the file spells them, `00501` and `1.10`: types
+    are inferred only where columns pass through unmapped.
     """
+    if as_text:
+        options = {**AS_TEXT.get(fmt.lower(), {}), **options}
     if fmt.lower() == "csv":
         options = {"header": header, "sep": sep or ",", "escape": '"', **options}
     return spark.read.format(fmt.lower()).options(**options).load(path)

@@ -11,9 +11,13 @@ from millrace.sources.local import local_frame
 
 
 def read_table(
-    spark: SparkSession, source: str | dict, schema: StructType, **folders
+    spark: SparkSession, source: str | dict, schema: StructType, must_exist: bool = False,
+    **folders
 ) -> DataFrame:
-    """A Parquet folder or a JDBC table in the given columns and types; none stored gives no rows.
+    """A Parquet folder or a JDBC table in the given columns and types.
+
+    A folder that is not there has no rows, as of a log before its first run, unless it
+    `must_exist`.
 
     Folders are read with the schema stated, so nothing is inferred from footers or folder names.
     `folders` are the values of the leading partition columns, in order: only the files of that
@@ -26,7 +30,7 @@ def read_table(
             path = "/".join([source.rstrip("/"), *[f"{k}={v}" for k, v in folders.items()]])
             stored = spark.read.schema(schema).option("basePath", source).parquet(path)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if must_exist or e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return local_frame(spark, [], schema)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -1,5 +1,6 @@
 """Sinks, and whole jobs over files in a folder, run twice."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -201,26 +202,51 @@ def test_raw_to_report_twice(spark, world, workers):
         spark.read.parquet(bases.curated + "/STG_MDM_HCP"))
 
 
-def test_a_failed_run_is_logged_and_its_id_is_not_used_again(spark, world):
+@pytest.mark.parametrize("workers", [1, 3])
+def test_a_failed_run_is_logged_and_its_id_is_not_used_again(spark, world, workers):
     control, bases, logs, tmp = world
     bad = tmp / "raw" / "affil" / "AFFIL_20240305100000.csv"
     bad.write_text("AID|OTHER\na|1\n")
-    with pytest.raises(ValueError, match="PERSON"):
-        ingest(spark, control, 10, bases, logs, now=NOW)
+    with pytest.raises(ExceptionGroup, match="1 of 3") as failed:
+        ingest(spark, control, 10, bases, logs, workers=workers, now=NOW)
+    assert "PERSON" in str(failed.value.exceptions[0])
     status = {r["DATASET_NAME"]: (r["PROCESS_STATUS"], r["RUN_ID"])
               for r in read_audit(spark, logs.audit).collect()}
-    assert status == {"STG_MDM_HCP": ("SUCCESS", 1), "STG_MDM_AFFIL": ("FAILED", 1)}
+    assert status == {"STG_MDM_HCP": ("SUCCESS", 1), "STG_MDM_AFFIL": ("FAILED", 1),
+                      "STG_VEEVA_ADDR": ("SUCCESS", 1)}
     (tmp / "raw" / "affil" / "AFFIL_20240305110000.csv").write_text(AFFIL)
-    assert [r.run_id for r in ingest(spark, control, 10, bases, logs, now=NOW)] == [2, 2, 1]
+    assert [r.run_id for r in ingest(spark, control, 10, bases, logs, now=NOW)] == [2, 2, 2]
+
+
+def test_the_whole_error_is_logged(spark, world):
+    control, bases, logs, _ = world
+
+    def fail(sources):
+        raise ValueError("x" * 5000)
+    ingest(spark, control, 10, bases, logs, now=NOW)
+    with pytest.raises(ValueError):
+        build(spark, control, 20, fail, bases, logs, now=NOW)
+    row = read_audit(spark, logs.audit).where("PROCESS_STATUS = 'FAILED'").first()
+    assert row["PROCESS_MESSAGE"] == "x" * 5000
+
+
+def test_a_job_without_its_sources_is_logged(spark, world):
+    control, bases, logs, _ = world
+    lost = replace(control, all_dependencies=control.all_dependencies.where("JOB_ID <> 20"))
+    with pytest.raises(LookupError):
+        build(spark, lost, 20, fact_from, bases, logs, now=NOW)
+    assert read_audit(spark, logs.audit).where("PROCESS_STATUS = 'FAILED'").count() == 1
 
 
 def test_no_file_is_a_named_error(spark, world):
     control, bases, logs, tmp = world
     empty = Bases(str(tmp / "raw2"), bases.curated, bases.processed)
     (tmp / "raw2" / "hcp").mkdir(parents=True)
-    with pytest.raises(FileNotFoundError, match="hcp_YYYYMMDD"):
+    with pytest.raises(ExceptionGroup) as failed:
         ingest(spark, control, 10, empty, logs, now=NOW)
-    assert read_audit(spark, logs.audit).first()["PROCESS_STATUS"] == "FAILED"
+    first = failed.value.exceptions[0]
+    assert isinstance(first, FileNotFoundError) and "hcp_YYYYMMDD" in str(first)
+    assert {r["PROCESS_STATUS"] for r in read_audit(spark, logs.audit).collect()} == {"FAILED"}
 
 
 def test_raw_parquet_is_numbered_in_place(spark, world, tmp_path):

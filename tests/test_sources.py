@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from millrace import (
     Bases, Control, apply_mapping, latest_file, list_files, load_control, next_run_id, read_raw,
     run_sql, warehouse_columns)
@@ -149,14 +150,15 @@ def test_control_filters_and_order(spark, tmp_path):
 def test_resolution(spark):
     rows = [dataset(1, "a", "RAW", 1), dataset(2, "b", "processed", 2), dataset(3, "c", "x", 3)]
     control = make_control(spark, rows, [(3, 1, "Y"), (3, 2, "Y"), (3, 9, "N")])
-    target, sources = control.resolve(3)
+    target = control.target(3)
+    sources = control.sources_of(target, 3)
     assert target.dataset_name == "c" and [s.dataset_name for s in sources] == ["a", "b"]
     bases = Bases("r", "/cur/", "s3a://pro")
     assert [bases.target(s) for s in sources] == ["/cur/a", "s3a://pro/b"]
     with pytest.raises(LookupError, match="none"):
         control.target(99)
     with pytest.raises(LookupError):
-        control.resolve(1)
+        control.sources_of(control.target(1), 1)
 
 
 @pytest.mark.parametrize("rows,needs,error", [
@@ -167,7 +169,13 @@ def test_resolution(spark):
     ([dataset(1, "a", "raw", 1)], [(1, 1, "Y")], ValueError)])
 def test_bad_control_rows_are_named_errors(spark, rows, needs, error):
     with pytest.raises(error):
-        make_control(spark, rows, needs).resolve(1)
+        control = make_control(spark, rows, needs)
+        control.sources_of(control.target(1), 1)
+
+
+def test_missing_control_table_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        load_control(spark, str(tmp_path)).raw_datasets(1)
 
 
 def test_next_run_id(spark):
@@ -216,13 +224,20 @@ def test_work_folder():
 
 @pytest.mark.parametrize("declared,expected", [
     ("VARCHAR(50)", "varchar(50)"), ("character varying(9)", "varchar(9)"), ("INT8", "bigint"),
-    ("Double Precision", "double"), ("NUMERIC(10,2)", "numeric(10,2)"), ("TEXT", "varchar(256)"),
-    ("timestamp without time zone", "timestamp"), ("varchar(max)", "varchar(65535)"),
+    ("Double Precision", "double"), ("NUMERIC(10,2)", "numeric(10,2)"), ("char varying (4)", "varchar(4)"),
+    ("timestamp without time zone", "timestamp"), ("bpchar(3)", "char(3)"),
     ("date", "date")])
-def test_declared_types(declared, expected):
+def test_declared_types(spark, declared, expected):
     assert spark_type(declared) == expected
 
 
+@pytest.mark.parametrize("declared", [
+    "text", "varchar", "bpchar", "character varying", "varchar(max)", "super", "geometry(1)"])
+def test_types_that_cannot_be_declared(spark, declared):
+    with pytest.raises(ValueError, match="column type"):
+        warehouse_ddl([("a", declared)])
+
+
 def test_warehouse_rows_and_options(spark):
     columns = [("b", "NUMERIC(10,2)"), ("a", "VARCHAR(5)"), ("d", "DATE")]
     df = spark.createDataFrame([(1, "2.50", "2024-01-02", 0)], "a int, b string, d string, e int")
