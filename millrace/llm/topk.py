@@ -45,12 +45,10 @@ def _tile(k: int, scale: float):
                 own = part["id"].to_numpy(np.int64)
                 for i in range(len(part)):
                     row = scores[i]
-                    if len(row) > k + 1:  # the own row may be among the best
-                        least = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                        at = np.flatnonzero(row >= least)
-                    else:
-                        at = np.arange(len(row))
-                    at = at[ids[at] != own[i]]
+                    at = np.flatnonzero(ids != own[i])
+                    if len(at) > k:
+                        least = np.partition(row[at], len(at) - k)[len(at) - k]
+                        at = at[row[at] >= least]
                     at = at[np.argsort(-row[at], kind="stable")[:k]]
                     out["query_row"] += [part["row"].iloc[i]] * len(at)
                     out["query_id"] += [own[i]] * len(at)
