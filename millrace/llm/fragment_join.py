@@ -11,9 +11,10 @@ same for all documents of one size band, and a document's set falls into one seg
   and summed per pair; the sum decides exactly.
 
 Documents with equal sets are one class before any of this, so copies are never paired up. Within
-a segment's group each class is first compared to the group's least one; after joining those, only
-classes of different components are compared with each other. No link between different sets that
-could join two components is left out.
+a segment's group each class is first compared to the group's hub, the class that has most in
+common with others. After that only classes of different components are compared with each other,
+and those that resemble one hub only if they share rare differences from it. No link that could
+join two components is left out.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ from millrace.llm.common import stored
 from millrace.llm.graph import components
 from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 
-# Fragments in which overlaps are counted; a row holds one document's segment.
+# Fragments in which overlaps are counted, cut by the first three bits of a hash; a row holds one
+# document's segment.
 COUNTED = 8
-SIGNED = ("doc_id long, n long, s1 long, s2 long, band int, need_own int, need_below int, "
-          "signatures array<long>")
+SIGNED = "doc_id long, n long, s1 long, s2 long, signatures array<long>"
 SEGMENT = "doc_id long, fragment int, hashes array<long>"
 
 
@@ -66,57 +67,48 @@ def band_of(n: int, num: int, den: int) -> tuple[int, int]:
     return int(np.searchsorted(bands(num, den, top), n, side="right")) - 1, top
 
 
-def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int], np.ndarray]:
-    """The band, and for it and the band below: how many segments a partner has in common at
-    least, and a value for each segment. The lowest bit of a value is the parity of its band."""
+def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """One value for each segment that a partner could have in common, for the document's own
+    band and for the one below."""
     n = len(hashes)
     if not n:
-        return 0, [0, 0], np.empty(0, U64)
+        return np.empty(0, U64)
     band, top = band_of(n, num, den)
     mixed, high = mix(hashes + U64(1)), (hashes >> U64(32))
-    out, needs = [], []
-    for b in (band, band - 1):
-        cut, equal = fragments(num, den, b, top) if b >= 0 else (0, 0)
-        needs.append(0)
+    out = []
+    for b in {band, max(band - 1, 0)}:
+        cut, equal = fragments(num, den, b, top)
         if not cut:
             continue
         at = (high * U64(cut) >> U64(32)).astype(np.int64)
         begins = np.flatnonzero(np.diff(at, prepend=-1))
         there, total = at[begins], np.add.reduceat(mixed, begins)
-        empty = cut - len(there)
-        needs[-1] = max(equal - empty, 1)
-        if empty >= equal:  # so many are empty that those in common may all be
+        if cut - len(there) >= equal:  # so many are empty that those in common may all be
             full = np.zeros(cut, U64)
             full[there] = total
             there, total = np.arange(cut), full
-        value = mix(total + mix(U64(cut) + (there.astype(U64) << U64(32))))
-        out.append(value >> U64(1) << U64(1) | U64(b & 1))
-    return band, needs, np.concatenate(out) if out else np.empty(0, U64)
+        out.append(mix(total + mix(U64(cut) + (there.astype(U64) << U64(32)))))
+    return np.concatenate(out) if out else np.empty(0, U64)
 
 
 def _sign(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, bounds in text_bytes(batch.column(1)):
-                n, s1, s2, signs, band, needs = [], [], [], [], [], []
+                n, s1, s2, signs = [], [], [], []
                 for hashes in shingle_sets(data, bounds, k):
                     n.append(len(hashes))
                     s1.append(mix(hashes).sum(dtype=U64))
                     s2.append(mix(hashes ^ U64(0x5555555555555555)).sum(dtype=U64))
-                    of, need, values = signatures(hashes, num, den)
-                    band.append(of)
-                    needs.append(need)
-                    signs.append(values)
+                    signs.append(signatures(hashes, num, den))
                 ends = np.cumsum([0] + [len(x) for x in signs], dtype=np.int32)
                 flat = np.concatenate(signs) if signs else np.empty(0, U64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(n)), pa.array(n, pa.int64()),
                     pa.array(np.array(s1, U64).view(np.int64)),
-                    pa.array(np.array(s2, U64).view(np.int64)), pa.array(band, pa.int32()),
-                    *(pa.array([x[i] for x in needs], pa.int32()) for i in (0, 1)),
+                    pa.array(np.array(s2, U64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                    names=["doc_id", "n", "s1", "s2", "band", "need_own", "need_below",
-                           "signatures"])
+                    names=["doc_id", "n", "s1", "s2", "signatures"])
     return run
 
 
@@ -127,10 +119,9 @@ def _cut(k: int):
                 doc, fragment, ends, parts = [], [], [0], []
                 for i, hashes in enumerate(shingle_sets(data, bounds, k)):
                     at = (hashes >> U64(61)).astype(np.int64)
-                    begins = np.flatnonzero(np.diff(at, prepend=-1))
-                    doc += [row + i] * len(begins)
-                    fragment += at[begins].tolist()
-                    ends += (ends[-1] + np.append(begins[1:], len(at))).tolist()
+                    doc += [row + i] * COUNTED
+                    fragment += range(COUNTED)
+                    ends += (ends[-1] + np.searchsorted(at, np.arange(1, COUNTED + 1))).tolist()
                     parts.append(hashes)
                 flat = np.concatenate(parts) if parts else np.empty(0, U64)
                 yield pa.RecordBatch.from_arrays([
@@ -155,34 +146,91 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
             .groupBy("a", "b", "n_a", "n_b").agg(F.sum("_shared").alias("shared")))
 
 
-def linked(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
-    return overlaps(pairs, segments).where(
-        F.col("shared") * den >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * num
-    ).select("a", "b")
+def _reach(num: int, den: int) -> Column:
+    return F.col("shared") * den >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * num
 
 
-def _candidates(met: DataFrame, about: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b, n_a, n_b of the pairs that meet in as many segments as a linked pair has to.
+def _sized(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b, n_a, n_b of the pairs whose sizes allow a link."""
+    return (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+            .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+            .select("a", "b", "n_a", "n_b"))
 
-    met: a, b, sign, a row for each segment in common; about: rep, n, band, need_own, need_below.
-    """
-    def side(x: str) -> DataFrame:
-        return about.select(F.col("rep").alias(x), *(
-            F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "need_own", "need_below")))
 
-    odd = F.pmod("sign", F.lit(2))
-    counted = met.groupBy("a", "b").agg(
-        F.sum(odd).alias("_odd"), F.sum(1 - odd).alias("_even"))
-    band = F.least("band_a", "band_b")
+def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
+    return rows.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+        "c", F.coalesce("component", "rep")).drop("component")
 
-    def need(x: str) -> Column:
-        return F.when(F.col(f"band_{x}") == band, F.col(f"need_own_{x}")).otherwise(
-            F.col(f"need_below_{x}"))
 
-    shared = F.when(F.pmod(band, F.lit(2)) == 1, F.col("_odd")).otherwise(F.col("_even"))
-    return (counted.join(side("a"), "a").join(side("b"), "b")
+def _elsewhere(starred: DataFrame, near: DataFrame, sizes: DataFrame, found: DataFrame,
+               num: int, den: int) -> DataFrame:
+    """Candidates of different components that meet in a segment, unless both of them are near
+    that segment's hub."""
+    mark = near.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.lit(True).alias("_n"))
+    placed = _with_component(starred, found).join(mark, ["hub", "rep"], "left").select(
+        "sign", "rep", "c", (F.col("_n").isNotNull() | (F.col("hub") == F.col("rep"))).alias("near"))
+    split = placed.groupBy("sign").agg(
+        F.min("c").alias("_x"), F.max("c").alias("_y"), F.min("near").alias("_all")).where(
+        "_x < _y and not _all").select("sign")
+    open_groups = stored(placed.join(split, "sign", "left_semi"), "open")
+    met = (open_groups.select("sign", F.col("rep").alias("a"), F.col("c").alias("_c"),
+                              F.col("near").alias("_m"))
+           .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d"),
+                                    F.col("near").alias("_o")), "sign")
+           .where("a < b and _c <> _d and not (_m and _o)").select("a", "b"))
+    return _sized(met.distinct(), sizes, num, den)
+
+
+def _around_hubs(near: DataFrame, segments: DataFrame, found: DataFrame, num: int,
+                 den: int) -> DataFrame:
+    """Candidates of different components that are near one hub.
+
+    Versions of one text all resemble its hub, so they meet in many segments, though few of them
+    are linked. What a set differs by from the hub tells them apart: with E(x) the symmetric
+    difference of x and the hub, |E(x) ^ E(y)| = |x ^ y|. A link allows at most D of that, so x and
+    y share (|E(x)| + |E(y)| - D) / 2 elements of their differences or more. That is more than 0,
+    for one of them is not linked to the hub. Ordered by how rare they are around the hub, the first
+    |E(x)| - shared + 1 elements of each must then have one in common. Partners are taken by
+    classes of |E(y)|, for which the number of shared elements is bounded well.
+    """
+    steps = [1]
+    while steps[-1] < 1 << 40:
+        steps.append(max(steps[-1] + 1, steps[-1] * 3 // 2))
+    table = F.lit(steps)
+
+    placed = _with_component(near.select(
+        F.col("a").alias("hub"), F.col("b").alias("rep"), F.col("n_b").alias("n")), found)
+    mixed = placed.groupBy("hub").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
+        "_x < _y").select("hub")
+    around = stored(placed.join(mixed, "hub", "left_semi"), "around")
+    left = segments.select(F.col("doc_id").alias("hub"), "fragment", F.col("hashes").alias("_h"))
+    right = segments.select(F.col("doc_id").alias("rep"), "fragment", F.col("hashes").alias("_r"))
+    differing = stored(
+        around.select("hub", "rep").join(left, "hub").join(right, ["rep", "fragment"]).select(
+            "hub", "rep", F.explode(F.concat(
+                F.array_except("_h", "_r"), F.array_except("_r", "_h"))).alias("element"))
+        .distinct(), "differing")
+    sizes = differing.groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("e"))
+    members = around.join(sizes, ["hub", "rep"]).withColumn(
+        "own", F.size(F.filter(table, lambda s: s <= F.col("e"))) - 1)
+    span = members.groupBy("hub").agg(F.min("own").alias("_low"), F.max("own").alias("_top"))
+    most = F.floor(F.col("n") * (den - num) / num)
+    shared = F.ceil((F.col("e") + F.get(table, F.col("other")) - most) / 2)
+    members = (members.join(span, "hub")
+               .withColumn("other", F.explode(F.sequence("_low", "_top")))
+               .withColumn("prefix", F.col("e") - F.greatest(shared, F.lit(1)) + 1)
+               .where("prefix > 0").select("hub", "rep", "n", "c", "own", "other", "prefix"))
+    rare = differing.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("_f"))
+    rank = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("_f", "element"))
+    ranked = differing.join(rare, ["hub", "element"]).withColumn("_at", rank).where("_f > 1")
+    keyed = stored(ranked.join(members, ["hub", "rep"]).where("_at <= prefix").select(
+        "hub", "element", "rep", "n", "c", "own", "other"), "keyed")
+    one = keyed.select("hub", "element", F.col("rep").alias("a"), F.col("n").alias("n_a"),
+                       F.col("c").alias("_c"), F.col("own").alias("_k"), F.col("other").alias("_l"))
+    two = keyed.select("hub", "element", F.col("rep").alias("b"), F.col("n").alias("n_b"),
+                       F.col("c").alias("_d"), F.col("other").alias("_k"), F.col("own").alias("_l"))
+    return (one.join(two, ["hub", "element", "_k", "_l"]).where("a < b and _c <> _d")
             .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-            .where(shared >= F.greatest(need("a"), need("b"), F.lit(1)))
             .select("a", "b", "n_a", "n_b"))
 
 
@@ -198,10 +246,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign(k, num, den), SIGNED), "signed")
-    detail = F.struct("signatures", "band", "need_own", "need_below")
-    classes = (signed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
-               .agg(F.min("doc_id").alias("rep"), F.min_by(detail, "doc_id").alias("_d"))
-               .select("s1", "s2", "n", "rep", "_d.*"))
+    classes = (signed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(
+        F.min("doc_id").alias("rep"), F.min_by("signatures", "doc_id").alias("signatures")))
     by_sign = Window.partitionBy("sign")
     groups = stored(
         classes.select("rep", F.explode("signatures").alias("sign"))
@@ -209,29 +255,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     # The class that has most in common with the others comes first: of several versions of one
     # text it is the least altered, to which the rest is linked if to anything.
     ranked = groups.groupBy("rep").agg(F.sum("_m").alias("popular"))
-    about = stored(ranked.join(
-        classes.select("rep", "n", "band", "need_own", "need_below"), "rep"), "about")
+    about = stored(ranked.join(classes.select("rep", "n"), "rep"), "about")
+    sizes = about.select("rep", "n")
     members = groups.select("rep", "sign").join(about.select("rep", "popular"), "rep")
     segments = stored(
         texts.join(about.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         .select("doc_id", "text").mapInArrow(_cut(k), SEGMENT), "segments")
     hub = F.max(F.struct("popular", (-F.col("rep")).alias("_r"))).over(by_sign)["_r"]
-    stars = members.select("sign", (-hub).alias("a"), F.col("rep").alias("b")).where("a <> b")
-    first = stored(_candidates(stars, about, num, den), "first")
-    links = stored(linked(first, segments, num, den), "links")
-    found = components(links)
-    placed = groups.select("rep", "sign").join(
-        found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "sign", "rep", F.coalesce("component", "rep").alias("c"))
-    split = placed.groupBy("sign").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
-        "_x < _y").select("sign")
-    open_groups = stored(placed.join(split, "sign", "left_semi"), "open")
-    met = (open_groups.select("sign", F.col("rep").alias("a"), F.col("c").alias("_c"))
-           .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d")), "sign")
-           .where("a < b and _c <> _d").select("sign", "a", "b"))
+    starred = stored(members.select("sign", (-hub).alias("hub"), "rep"), "starred")
+    first = stored(overlaps(_sized(
+        starred.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+        .distinct(), sizes, num, den), segments), "first")
+    links = stored(first.where(_reach(num, den)).select("a", "b"), "links")
+    found = stored(components(links), "found")
+    near = first.where(_reach(num, 2 * den))
+    pairs = _around_hubs(near, segments, found, num, den).union(
+        _elsewhere(starred, near, sizes, found, num, den))
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _candidates(met, about, num, den).join(tested, ["a", "b"], "left_anti")
-    more = stored(linked(second, segments, num, den), "links")
+    second = pairs.distinct().join(tested, ["a", "b"], "left_anti")
+    more = stored(overlaps(second, segments).where(_reach(num, den)).select("a", "b"), "links")
     whole = components(links.union(more))
     named = classes.select("s1", "s2", "n", "rep").join(
         whole.withColumnRenamed("id", "rep"), "rep", "left").select(
