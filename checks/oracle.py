@@ -171,7 +171,60 @@ def _audit(**values) -> str:
     return "select '20240101' as CYCLE_ID, " + AUDIT.format(**values)
 
 
+IN_LANDING = """
+    rows as (select o_orderkey, cast(o_orderkey as varchar) as ORDER_ID,
+        cast(o_custkey as varchar) as CUSTOMER_ID, o_orderstatus as STATUS,
+        nullif(PRIO, '') as PRIO from dirty),
+    landing as (select row_number() over (order by o_orderkey) as ROW_ID, ORDER_ID, CUSTOMER_ID,
+        STATUS, PRIO from rows)"""
+IN_RULES = [
+    NULL_RULE, LE_RULE,
+    (3, "STATUS", "DOMAIN", "F,O", "STATUS must be one of: F,O", "critical", "STATUS not in ('F', 'O')"),
+    (4, "CUSTOMER_ID", "CUSTOM",
+     "select ROW_ID from landingTable where CUSTOMER_ID in (select CUSTOMER_ID from landingTable "
+     "group by CUSTOMER_ID having count(*) > 14)", "CUSTOMER_ID must satisfy custom check", "CRITICAL",
+     "CUSTOMER_ID in (select CUSTOMER_ID from landing group by 1 having count(*) > 14)")]
+KIND_RULE = (1, "KIND", "DOMAIN", "click,view", "KIND must be one of: click,view", "low",
+             "upper(trim(KIND, ' ')) not in ('click', 'view')")
+KIND_RUN = RUN.replace("cast(1 as integer) as DATASET_ID", "cast(2 as integer) as DATASET_ID")
+IN_EVENTS = """
+    landing as (select row_number() over (order by event_id) as ROW_ID,
+        cast(user_id as varchar) as USER, event_type as KIND, props as PROPS,
+        cast(ts as varchar) as TS, cast(event_id as varchar) as ID from events)"""
+
+
+def _ingested(landing: str, rules: list[tuple], run: str) -> str:
+    return f"""with dirty as ({DIRTY}), {landing}, log as ({_log(rules, run)}), flags as ({ROLLUP})
+    select f.QC_ID, f.QC_DESC, coalesce(f.CRITICALITY_FLAG, 'N') as CRITICALITY_FLAG, l.*
+    from landing l left join flags f on l.ROW_ID = f.ROW_ID"""
+
+
+def _ingest_audit() -> str:
+    def row(i, name, run, status, count, message):
+        return f"""select '20240101' as CYCLE_ID, cast({run} as integer) as RUN_ID,
+          '2024-01-01 12:00:00' as LOAD_DATE, cast({11 if i == 3 else 10} as integer) as GLUE_JOB_ID,
+          'in' as GLUE_JOB_NAME, cast({i} as integer) as DATASET_ID, 'RAW' as DATASET_TYPE,
+          '{name}' as DATASET_NAME, 'INGESTION' as PROCESS_NAME, '{status}' as PROCESS_STATUS,
+          cast({count} as bigint) as RECORD_COUNT, '{message}' as PROCESS_MESSAGE"""
+    rows = [row(i, n, run, "SUCCESS", f"(select count(*) from {t})", "") for run in (1, 2)
+            for i, n, t in ((1, "STG_ORDERS", "orders"), (2, "STG_EVENTS", "events"))]
+    rows.append(row(3, "STG_BAD", 1, "FAILED", 0,
+                    "source columns not found: [''absent'']; the file has [''o_orderkey'', "
+                    "''o_custkey'', ''o_orderstatus'', ''PRIO'']"))
+    return " union all ".join(rows)
+
+
 ORACLE: dict[str, str] = {
+    "ingest_orders": _ingested(IN_LANDING, IN_RULES, RUN),
+    "ingest_events": _ingested(IN_EVENTS, [KIND_RULE], KIND_RUN),
+    "ingest_log": f"""with dirty as ({DIRTY}), {IN_LANDING} {_log(IN_RULES)} union all
+        select * from (with {IN_EVENTS} {_log([KIND_RULE], KIND_RUN)})""",
+    "ingest_summary": f"""with dirty as ({DIRTY}), {IN_LANDING} {_summary(IN_RULES)} union all
+        select * from (with {IN_EVENTS} {_summary([KIND_RULE]).replace(RUN, KIND_RUN)})""",
+    "ingest_audit": _ingest_audit(),
+    "read_raw_json_text": """select cast(event_id as varchar) as EVENT_ID, cast(ts as varchar) as TS,
+        cast(user_id as varchar) as USER_ID, event_type as EVENT_TYPE, props as PROPS,
+        '00501' as ZIP, '1.10' as N from events""",
     "row_id_orders": """select row_number() over (order by o_orderkey) as ROW_ID, o_orderkey,
         o_orderstatus from orders""",
     "row_id_hot_key": """select row_number() over (order by k, o_orderkey) as ROW_ID, k, o_orderkey
