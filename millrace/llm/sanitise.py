@@ -146,31 +146,40 @@ def corpus_words(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
-def disclosure(docs: DataFrame, found: DataFrame, terms: DataFrame,
-               support: int) -> DataFrame:
-    """entity, term, disclosure for the pairs seen in at least `support` different contexts."""
-    pairs = stored(terms.groupBy("entity", "term").agg(
+def disclosure(docs: DataFrame, found: DataFrame, terms: DataFrame, support: int,
+               least: float) -> DataFrame:
+    """entity, term, disclosure for the pairs seen in at least `support` different contexts whose
+    disclosure is `least` or more.
+
+    Texts in which a term occurs near any entity are some of those in which it occurs, so they
+    bound its disclosure from above. Only terms that pass by that bound are counted in the corpus.
+    """
+    def value(n_t: Column) -> Column:
+        information = F.log2(F.col("n") / F.col("n_c"))
+        shared = F.log2(F.col("n_tc") * F.col("n") / (n_t * F.col("n_c")))
+        return F.when(information > 0, shared / information).otherwise(F.lit(0.0))
+
+    pairs = terms.groupBy("entity", "term").agg(
         F.count_distinct("context").alias("_support"),
-        F.count_distinct("txt").alias("n_tc")).where(F.col("_support") >= support), "pairs")
+        F.count_distinct("txt").alias("n_tc")).where(F.col("_support") >= support)
     entities = terms.groupBy("entity").agg(F.count_distinct("txt").alias("n_c"))
-    wanted = pairs.select("term").distinct()
+    nearby = terms.groupBy("term").agg(F.count_distinct("txt").alias("_near"))
+    total = found.agg(F.count_distinct("txt").alias("n"))
+    likely = stored(pairs.join(entities, "entity").join(nearby, "term").join(
+        F.broadcast(total), F.lit(True)).where(value(F.col("_near")) >= least), "likely")
     used = (docs.select(F.xxhash64(text_of()).alias("txt"),
                         F.explode(corpus_words(text_of())).alias("term"))
-            .join(wanted, "term", "left_semi").groupBy("term").agg(
+            .join(likely.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
                 F.count_distinct("txt").alias("n_t")))
-    total = found.agg(F.count_distinct("txt").alias("n"))
-    rows = (pairs.join(entities, "entity").join(used, "term").join(F.broadcast(total), F.lit(True)))
-    information = F.log2(F.col("n") / F.col("n_c"))
-    shared = F.log2(F.col("n_tc") * F.col("n") / (F.col("n_t") * F.col("n_c")))
-    return rows.select("entity", "term", F.when(information > 0, shared / information).otherwise(
-        F.lit(0.0)).alias("disclosure"))
+    return likely.join(used, "term").select(
+        "entity", "term", value(F.col("n_t")).alias("disclosure")).where(
+        F.col("disclosure") >= least)
 
 
 def term_spans(docs: DataFrame, found: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, txt, extra: the places of disclosing terms, with what to write there instead."""
     terms = stored(_context_terms(found.where(F.size("base") > 0)), "terms")
-    risky = disclosure(docs, found, terms, limits.support).where(
-        F.col("disclosure") >= limits.generalise)
+    risky = disclosure(docs, found, terms, limits.support, limits.generalise)
     label = (F.when(F.col("disclosure") >= limits.remove, F.lit(""))
              .when(F.col("term").rlike(r"\p{N}"), F.lit("[NUMBER]")).otherwise(F.lit("[TERM]")))
     return terms.join(risky, ["entity", "term"]).withColumn("_label", label).groupBy(
