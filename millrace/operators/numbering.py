@@ -1,26 +1,21 @@
 """Consecutive row ids 1..N without a global window.
 
 A stored Parquet row already has a position: its file, and its index within the file. The id
-is that index plus the rows in the files before. Only one count per file travels to the
-driver, and the id is a pure function of stored bytes, so a lost executor or a second read
-gives every row the same id again.
+is that index plus the rows in the files before. One count per file is broadcast, and the id is
+a pure function of stored bytes, so a lost executor or a second read gives every row the same id
+again.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace import fixed
 from millrace.functions.text import column
 from millrace.settings import scratch
-from millrace.sources.local import local_frame
 
 PART = "_landing_part"
-# Broadcast rows are a file key and a long; beyond this many files Spark picks the join itself.
-BROADCAST_FILES = 500_000
 
 
 def _index() -> Column:
@@ -58,26 +53,19 @@ def _number(stored: DataFrame, key: Column) -> DataFrame:
     """Prefix ROW_ID; `key` tells the files apart and its order is the order of the files."""
     spark = stored.sparkSession
     columns = [column(c) for c in stored.columns if c != PART]
-    rows = stored.select(key.alias("_file"), _index().alias("_row"))
-    counts = (rows.groupBy("_file")
-              .agg(F.count(F.lit(1)).alias("n"), F.max("_row").alias("last"))
-              .collect())
-    if any(c["n"] != c["last"] + 1 for c in counts):
+    counts = (stored.select(key.alias("_file"), _index().alias("_row")).groupBy("_file")
+              .agg(F.count(F.lit(1)).alias("n"), F.max("_row").alias("last")))
+    # A row per file, not per row: the ordered sum and the broadcast grow with the files only.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    path = scratch(spark, "file-offsets")
+    counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).write.parquet(path)
+    offsets = spark.read.parquet(path)
+    if not offsets.where("n <> last + 1").isEmpty():
         raise ValueError("only whole stored files can be numbered; store the filtered rows first")
-    counts.sort(key=lambda c: c["_file"])
-    before = [0, *accumulate(c["n"] for c in counts)]
-
+    offsets = offsets.select("_file", "_before")
     placed = stored.select(*columns, key.alias("_file"), _index().alias("_row"))
-    if len(counts) <= 1:
-        numbered = placed.withColumn("_before", F.lit(0).cast("bigint"))
-    else:
-        offsets = local_frame(spark, zip((c["_file"] for c in counts), before), T.StructType([
-            placed.schema["_file"], T.StructField("_before", T.LongType())]))
-        if len(counts) <= BROADCAST_FILES:
-            offsets = F.broadcast(offsets)
-        numbered = placed.join(offsets, "_file")
     row_id = (F.col("_before") + F.col("_row") + 1).alias(fixed.ROW_ID)
-    return numbered.select(row_id, *columns)
+    return placed.join(F.broadcast(offsets), "_file").select(row_id, *columns)
 
 
 def number_stored_rows(stored: DataFrame) -> DataFrame:

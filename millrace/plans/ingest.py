@@ -17,7 +17,7 @@ from millrace.operators.mapping import apply_mapping
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import check, custom_hits, flag, summarize
 from millrace.operators.runs import next_run_id
-from millrace.settings import own_folder
+from millrace.settings import remove, scratch
 from millrace.sinks.catalog import register
 from millrace.sinks.logs import append, audit, write_violations
 from millrace.sinks.publish import publish
@@ -47,17 +47,17 @@ def land(
     dataset: Dataset,
     raw: DataFrame,
     columns: list[tuple[str, str]] | None,
-    target: str,
+    work: str | None = None,
 ) -> DataFrame:
     """Mapped and numbered rows, with the same ids whenever they are read.
 
-    Parquet rows are numbered where they lie. Other formats are parsed once, into a work table
-    that the next run for the same target replaces; rules, flags and log read that.
+    Parquet rows are numbered where they lie. Other formats are parsed once, into a table under
+    the folder `work`; rules, flags and log read that.
     """
     mapped = apply_mapping(raw, columns)
     if (dataset.file_format or "").lower() == "parquet":
         return number_stored_rows(mapped)
-    return with_row_id(mapped, own_folder(spark, "landing", target))
+    return with_row_id(mapped, f"{work or scratch(spark, 'work')}/landing")
 
 
 def stage(
@@ -69,13 +69,14 @@ def stage(
     archive: str | None = None,
     partitions: int | str | None = None,
     strict: bool = True,
+    work: str | None = None,
 ) -> int:
     """Log the violations, publish the flagged rows, log the summary; returns the row count."""
     spark = landing.sparkSession
     rules = list(rules)
     hits = None
     if any(r.kind == "CUSTOM" for r in rules):
-        path = own_folder(spark, "hits", target)
+        path = f"{work or scratch(spark, 'work')}/hits"
         custom_hits(landing, rules).write.mode("overwrite").parquet(path)
         hits = spark.read.parquet(path)
     found = check(landing, rules, run, strict, hits, compact=True)
@@ -122,10 +123,13 @@ def ingest_dataset(
         raw = read_raw(spark, newest["path"], fmt, dataset.file_delimiter,
                        has_header(dataset.header_flag), columns is not None,
                        **(read_options or {}))
-        target = bases.target(dataset)
-        outcome["count"] = stage(
-            land(spark, dataset, raw, columns, target), control.rule_list(dataset.dataset_id),
-            run, logs, target, bases.archive(dataset), partitions, strict)
+        target, work = bases.target(dataset), scratch(spark, f"ingest-{cycle_id}-{run_id}")
+        try:
+            outcome["count"] = stage(
+                land(spark, dataset, raw, columns, work), control.rule_list(dataset.dataset_id),
+                run, logs, target, bases.archive(dataset), partitions, strict, work)
+        finally:
+            remove(spark, work)
         if database:
             register(spark, f"{database}.{dataset.target_table_name}", target)
     return run

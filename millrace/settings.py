@@ -40,9 +40,10 @@ def work_folder(spark: SparkSession, *names: str) -> str:
     return "/".join([base.rstrip("/"), "millrace", *names])
 
 
-def own_folder(spark: SparkSession, kind: str, target: str) -> str:
-    """The work folder of one target. The next run reuses it, so work tables do not pile up."""
-    return work_folder(spark, kind, uuid.uuid5(uuid.NAMESPACE_URL, target).hex)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder, through the file system Spark uses."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -117,3 +117,16 @@ def test_nulls_and_odd_names_survive(spark, tmp_path):
     got = with_row_id(df, str(tmp_path / "l"))
     assert got.columns == ["ROW_ID", "a.b c", "d"]
     assert sorted(map(str, (tuple(r)[1:] for r in got.collect()))) == ["('b', None)", "(None, 'x')"]
+
+
+def test_thousands_of_files(spark, tmp_path):
+    """Ids run through all files in the order of their paths, none of them on the driver."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    (tmp_path / "many").mkdir()
+    for i in range(2000):
+        pq.write_table(pa.table({"v": [10 * i + j for j in range(i % 3)]}, pa.schema([("v", pa.int64())])),
+                       tmp_path / "many" / f"f{i:05d}.parquet")
+    rows = number_stored_rows(spark.read.parquet(str(tmp_path / "many"))).collect()
+    assert sorted((r["v"], r["ROW_ID"]) for r in rows) == [
+        (v, n + 1) for n, v in enumerate(sorted(r["v"] for r in rows))]

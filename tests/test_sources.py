@@ -10,7 +10,7 @@ from millrace import (
 from millrace.functions.filenames import name_regex
 from millrace.model import AUDIT, COLUMNS, DATASETS, DEPENDENCIES, RULES, join_path
 from millrace.operators.mapping import spark_type, warehouse_ddl
-from millrace.settings import own_folder, scratch, work_folder
+from millrace.settings import scratch, work_folder
 from millrace.sinks.warehouse import writer_options
 
 
@@ -215,8 +215,6 @@ def test_work_folder():
     local = FakeSession("local[2]", None)
     assert work_folder(local, "x") == work_folder(local, "x")
     assert scratch(local, "x") != scratch(local, "x")
-    assert own_folder(local, "landing", "/t/a") == own_folder(local, "landing", "/t/a")
-    assert own_folder(local, "landing", "/t/a") != own_folder(local, "landing", "/t/b")
 
 
 # --- warehouse layout --------------------------------------------------------------------
