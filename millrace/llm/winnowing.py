@@ -64,15 +64,25 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
     return bound(placed(_grams(tokens(text), k)), least)
 
 
-def hashes(codes: Column) -> Column:
-    return F.array_distinct(F.transform(codes, lambda c: F.shiftright(c, 32)))
+def compact(codes: Column, window: int = WINDOW) -> Column:
+    """The same fingerprint in little space: its hashes, and the step from one kept position to
+    the next (from 0 to the first), which is never more than the window."""
+    kind = "tinyint" if window < 128 else "int"
 
+    def split(all_codes: Column) -> Column:
+        # The second half of a code counts down, so a step is the earlier less the later one.
+        steps = F.transform(all_codes, lambda c, i: (
+            F.when(i == 0, F.lit(LOW)).otherwise(F.get(all_codes, i - 1).bitwiseAND(F.lit(LOW)))
+            - c.bitwiseAND(F.lit(LOW))).cast(kind))
+        return F.struct(F.transform(all_codes, lambda c: F.shiftright(c, 32).cast("int")).alias(
+            "hashes"), steps.alias("steps"))
+    return bound(codes, split)
 
-def shown(codes: Column) -> Column:
-    """hash:position, comma-joined, hashes in lower-case hex."""
-    return F.array_join(F.transform(codes, lambda c: F.concat(
-        F.lower(F.hex(F.shiftright(c, 32))), F.lit(":"),
-        (F.lit(LOW) - c.bitwiseAND(F.lit(LOW))).cast("string"))), ",")
+
+def shown(print_: Column) -> Column:
+    """hash:step, comma-joined, hashes in lower-case hex."""
+    return bound(print_, lambda p: F.array_join(F.transform(p["hashes"], lambda h, i: F.concat(
+        F.lower(F.hex(h)), F.lit(":"), F.get(p["steps"], i).cast("string"))), ","))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -139,19 +149,19 @@ def edit_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFram
     the next text, or by all of it. One row per row of `docs`; see `with_next` for order and ties.
     A text without words has an empty fingerprint and is alike only to others of that kind.
     """
-    def codes(text: Column) -> Column:
-        return fingerprint(text, k, window)
+    def short(text: Column) -> Column:
+        return compact(fingerprint(text, k, window), window)
 
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    rows = (with_next(docs, codes).withColumn("n_chars", F.char_length("text").cast("long"))
+    rows = (with_next(docs, short).withColumn("n_chars", F.char_length("text").cast("long"))
             .withColumn("_edited", F.concat(
                 F.substring("text", F.lit(1), F.col("n_chars").cast("int") - third),
                 F.substring(F.col("next.text"), F.lit(1), third)))
-            .withColumn("_codes", codes(F.col("_edited")))
-            .withColumn("_own", hashes(F.col("payload"))))
+            .withColumn("_new", short(F.col("_edited")))
+            .withColumn("_own", F.array_distinct("payload.hashes")))
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("_edited"), 256).alias("edited_sha256"),
         shown(F.col("payload")).alias("fingerprint"),
-        shown(F.col("_codes")).alias("edited_fingerprint"),
-        likeness(F.col("_own"), hashes(F.col("_codes"))).alias("near_edited"),
-        likeness(F.col("_own"), hashes(F.col("next.payload"))).alias("near_next"))
+        shown(F.col("_new")).alias("edited_fingerprint"),
+        likeness(F.col("_own"), F.array_distinct("_new.hashes")).alias("near_edited"),
+        likeness(F.col("_own"), F.array_distinct("next.payload.hashes")).alias("near_next"))

@@ -1,6 +1,7 @@
 """Winnowing against a plain Python version."""
 
 import hashlib
+import itertools
 import re
 
 import pytest
@@ -56,6 +57,9 @@ def test_rightmost_minimum_of_every_window(spark):
             want.append(at)
     got = fingerprints(frame(spark, rows)).first().fingerprint
     assert [(1 << 32) - 1 - (c & 0xFFFFFFFF) for c in got] == want
+    steps = [int(p.split(":")[1]) for p in edit_likeness(
+        frame(spark, rows)).first().fingerprint.split(",")]
+    assert list(itertools.accumulate(steps)) == want
     same = {}
     for i, g in enumerate(grams):
         assert same.setdefault(tuple(words[i:i + K]), g) == g
