@@ -102,17 +102,11 @@ def text_bytes(column: pa.Array, limit: int = 4 * PIECE) -> Iterator[
     A null is an empty text. A longer text is a run of its own, whole.
     """
     column = column.cast(pa.large_binary())
-    lengths = np.fromiter((0 if not x.is_valid else len(x.as_buffer()) for x in column),
-                          np.int64, len(column)) if column.null_count else None
+    if column.null_count:
+        column = column.fill_null(b"")
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.empty(0, np.uint8)
-    if lengths is not None:
-        column = pa.array([b"" if not x.is_valid else x.as_py() for x in column],
-                          pa.large_binary())
-        buffers = column.buffers()
-        offsets = np.frombuffer(buffers[1], np.int64)[:len(column) + 1]
-        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.empty(0, np.uint8)
     row, n = 0, len(column)
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
