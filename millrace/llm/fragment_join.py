@@ -34,7 +34,11 @@ from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 # Fragments in which overlaps are counted, cut by the first three bits of a hash; a row holds one
 # document's segment.
 COUNTED = 8
-SIGNED = "doc_id long, n long, s1 long, s2 long, signatures array<long>"
+SIGNED = ("doc_id long, n long, s1 long, s2 long, band int, need_own int, need_below int, "
+          "signatures array<long>")
+# A hub's neighbour is looked at closely when it meets the hub in a quarter of the segments that a
+# linked one has to.
+NEAR = 4
 SEGMENT = "doc_id long, fragment int, hashes array<long>"
 
 
@@ -67,48 +71,55 @@ def band_of(n: int, num: int, den: int) -> tuple[int, int]:
     return int(np.searchsorted(bands(num, den, top), n, side="right")) - 1, top
 
 
-def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One value for each segment that a partner could have in common, for the document's own
-    band and for the one below."""
+def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int], np.ndarray]:
+    """The band; for it and the one below, how many segments a linked partner has in common at
+    least; and for both a value for each of those segments."""
     n = len(hashes)
     if not n:
-        return np.empty(0, U64)
+        return 0, [1, 1], np.empty(0, U64)
     band, top = band_of(n, num, den)
     mixed, high = mix(hashes + U64(1)), (hashes >> U64(32))
-    out = []
-    for b in {band, max(band - 1, 0)}:
-        cut, equal = fragments(num, den, b, top)
+    out, needs = [], []
+    for b in (band, band - 1):
+        cut, equal = fragments(num, den, b, top) if b >= 0 else (0, 0)
+        needs.append(1)
         if not cut:
             continue
         at = (high * U64(cut) >> U64(32)).astype(np.int64)
         begins = np.flatnonzero(np.diff(at, prepend=-1))
         there, total = at[begins], np.add.reduceat(mixed, begins)
+        needs[-1] = max(equal - (cut - len(there)), 1)
         if cut - len(there) >= equal:  # so many are empty that those in common may all be
             full = np.zeros(cut, U64)
             full[there] = total
             there, total = np.arange(cut), full
         out.append(mix(total + mix(U64(cut) + (there.astype(U64) << U64(32)))))
-    return np.concatenate(out) if out else np.empty(0, U64)
+    return band, needs, np.concatenate(out) if out else np.empty(0, U64)
 
 
 def _sign(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, bounds in text_bytes(batch.column(1)):
-                n, s1, s2, signs = [], [], [], []
+                n, s1, s2, signs, bands_, needs = [], [], [], [], [], []
                 for hashes in shingle_sets(data, bounds, k):
                     n.append(len(hashes))
                     s1.append(mix(hashes).sum(dtype=U64))
                     s2.append(mix(hashes ^ U64(0x5555555555555555)).sum(dtype=U64))
-                    signs.append(signatures(hashes, num, den))
+                    band, need, values = signatures(hashes, num, den)
+                    bands_.append(band)
+                    needs.append(need)
+                    signs.append(values)
                 ends = np.cumsum([0] + [len(x) for x in signs], dtype=np.int32)
                 flat = np.concatenate(signs) if signs else np.empty(0, U64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(n)), pa.array(n, pa.int64()),
                     pa.array(np.array(s1, U64).view(np.int64)),
-                    pa.array(np.array(s2, U64).view(np.int64)),
+                    pa.array(np.array(s2, U64).view(np.int64)), pa.array(bands_, pa.int32()),
+                    *(pa.array([x[i] for x in needs], pa.int32()) for i in (0, 1)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                    names=["doc_id", "n", "s1", "s2", "signatures"])
+                    names=["doc_id", "n", "s1", "s2", "band", "need_own", "need_below",
+                           "signatures"])
     return run
 
 
@@ -150,10 +161,23 @@ def _reach(num: int, den: int) -> Column:
     return F.col("shared") * den >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * num
 
 
-def _sized(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b, n_a, n_b of the pairs whose sizes allow a link."""
-    return (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+def _candidates(met: DataFrame, about: DataFrame, num: int, den: int,
+                part: int = 1) -> DataFrame:
+    """a, b, n_a, n_b of the pairs whose sizes allow a link and that meet in enough segments, or in
+    a `part` of them. met: a row a, b for every segment in common."""
+    def side(x: str) -> DataFrame:
+        return about.select(F.col("rep").alias(x), *(
+            F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "need_own", "need_below")))
+
+    def need(x: str) -> Column:
+        return F.when(F.col(f"band_{x}") == F.least("band_a", "band_b"), F.col(f"need_own_{x}")
+                      ).otherwise(F.col(f"need_below_{x}"))
+
+    return (met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_m"))
+            .join(side("a"), "a").join(side("b"), "b")
             .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+            .where(F.col("_m") >= F.greatest(
+                F.floor(F.greatest(need("a"), need("b")) / part), F.lit(1)))
             .select("a", "b", "n_a", "n_b"))
 
 
@@ -162,10 +186,10 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
         "c", F.coalesce("component", "rep")).drop("component")
 
 
-def _elsewhere(starred: DataFrame, near: DataFrame, sizes: DataFrame, found: DataFrame,
+def _elsewhere(starred: DataFrame, near: DataFrame, about: DataFrame, found: DataFrame,
                num: int, den: int) -> DataFrame:
-    """Candidates of different components that meet in a segment, unless both of them are near
-    that segment's hub."""
+    """Candidates of different components, by the segments they meet in where not both of them are
+    near the hub. A pair with another kind of segment in common is among those around that hub."""
     mark = near.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.lit(True).alias("_n"))
     placed = _with_component(starred, found).join(mark, ["hub", "rep"], "left").select(
         "sign", "rep", "c", (F.col("_n").isNotNull() | (F.col("hub") == F.col("rep"))).alias("near"))
@@ -178,7 +202,7 @@ def _elsewhere(starred: DataFrame, near: DataFrame, sizes: DataFrame, found: Dat
            .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d"),
                                     F.col("near").alias("_o")), "sign")
            .where("a < b and _c <> _d and not (_m and _o)").select("a", "b"))
-    return _sized(met.distinct(), sizes, num, den)
+    return _candidates(met, about, num, den)
 
 
 def _around_hubs(near: DataFrame, segments: DataFrame, found: DataFrame, num: int,
@@ -246,34 +270,48 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign(k, num, den), SIGNED), "signed")
-    classes = (signed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(
-        F.min("doc_id").alias("rep"), F.min_by("signatures", "doc_id").alias("signatures")))
+    about = ["doc_id", "n", "s1", "s2"]
+    classes = stored(signed.where("n > 0 and doc_id is not null").select(*about).groupBy(
+        "s1", "s2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    copies = stored(signed.select(*about).join(classes, ["s1", "s2", "n"]).where(
+        "doc_id <> rep").select("doc_id").distinct(), "copies")
+    firsts = signed.where("n > 0 and doc_id is not null").join(
+        copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
     by_sign = Window.partitionBy("sign")
     groups = stored(
-        classes.select("rep", F.explode("signatures").alias("sign"))
-        .withColumn("_m", F.count(F.lit(1)).over(by_sign)).where("_m > 1"), "groups")
+        firsts.select("rep", F.explode("signatures").alias("sign"))
+        .withColumns({"_m": F.count(F.lit(1)).over(by_sign), "_x": F.min("rep").over(by_sign),
+                      "_y": F.max("rep").over(by_sign)}).where("_x < _y").drop("_x", "_y"), "groups")
     # The class that has most in common with the others comes first: of several versions of one
     # text it is the least altered, to which the rest is linked if to anything.
     ranked = groups.groupBy("rep").agg(F.sum("_m").alias("popular"))
-    about = stored(ranked.join(classes.select("rep", "n"), "rep"), "about")
-    sizes = about.select("rep", "n")
+    about = stored(ranked.join(firsts.select(
+        "rep", "n", "band", "need_own", "need_below").dropDuplicates(["rep"]), "rep"), "about")
     members = groups.select("rep", "sign").join(about.select("rep", "popular"), "rep")
-    segments = stored(
-        texts.join(about.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        .select("doc_id", "text").mapInArrow(_cut(k), SEGMENT), "segments")
+
+    def cut(pairs: DataFrame) -> DataFrame:
+        """The segments of the documents in the pairs, from their texts."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        return stored(texts.join(stored(ids, "compared"), "doc_id", "left_semi").select(
+            "doc_id", "text").mapInArrow(_cut(k), SEGMENT), "segments")
+
     hub = F.max(F.struct("popular", (-F.col("rep")).alias("_r"))).over(by_sign)["_r"]
     starred = stored(members.select("sign", (-hub).alias("hub"), "rep"), "starred")
-    first = stored(overlaps(_sized(
-        starred.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        .distinct(), sizes, num, den), segments), "first")
+    stars = stored(_candidates(
+        starred.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")),
+        about, num, den, NEAR), "stars")
+    segments = cut(stars)
+    first = stored(overlaps(stars, segments), "first")
     links = stored(first.where(_reach(num, den)).select("a", "b"), "links")
     found = stored(components(links), "found")
     near = first.where(_reach(num, 2 * den))
-    pairs = _around_hubs(near, segments, found, num, den).union(
-        _elsewhere(starred, near, sizes, found, num, den))
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-    more = stored(overlaps(second, segments).where(_reach(num, den)).select("a", "b"), "links")
+    around = _around_hubs(near, segments, found, num, den).distinct().join(
+        tested, ["a", "b"], "left_anti")
+    beside = stored(_elsewhere(starred, near, about, found, num, den).join(
+        tested, ["a", "b"], "left_anti"), "beside")
+    more = stored(overlaps(around, segments).union(overlaps(beside, cut(beside))).where(
+        _reach(num, den)).select("a", "b"), "links")
     whole = components(links.union(more))
     named = classes.select("s1", "s2", "n", "rep").join(
         whole.withColumnRenamed("id", "rep"), "rep", "left").select(
