@@ -7,8 +7,9 @@ an entity c, over all distinct texts,
     disclosure = PMI(t; c) / IC(c),  PMI = log(N n(t, c) / (n(t) n(c))),  IC = log(N / n(c)),
 
 is 1 for a word that is never used without the entity and 0 for one that is independent of it. A
-term seen in at least `support` different contexts of the entity is generalised to its class from
-`generalise` on and removed from `remove` on, in every context of that entity.
+term seen in at least `support` different contexts of an entity is generalised to its class from
+`generalise` on and removed from `remove` on, wherever it occurs in any text: a text that does not
+mention the entity is where the term would give it away.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ PATTERNS = {
 KINDS = [*PATTERNS, "term"]
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CONTEXT = 120
+REACH = CONTEXT + 2
 SPAN = "struct<start:bigint,kind:int,end:bigint,value:string,left:string,right:string>"
 PLACE = "struct<start:bigint,end:bigint,term:string>"
+TERM = r"[\p{L}\p{N}]+"
 EXTRA = "struct<start:bigint,kind:int,end:bigint,label:string>"
 
 
@@ -69,14 +72,26 @@ def _holds(kind: str, found: Column) -> Column:
 def _located(text: Column, pattern: str, item, kind: str) -> Column:
     """item(start, end, match, text before, text after) of every match, null items left out.
 
-    The pieces between matches give the places: one pass, however many matches there are.
+    The pieces between matches give the places: one pass, however many matches there are. The text
+    before and after, CONTEXT characters or as many as there are, runs on over other matches. A
+    match has two characters or more wherever an item asks for the text around it, so the pieces and
+    matches nearest to it, REACH of them, hold its context.
     """
+    def ends(piece: Column) -> Column:
+        return F.when(F.length(piece) > 2 * CONTEXT, F.concat(
+            F.left(piece, F.lit(CONTEXT)), F.right(piece, F.lit(CONTEXT)))).otherwise(piece)
+
     def walk(both: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             match, piece = F.get(both["m"], i), F.get(both["p"], i)
             start = state["at"] + F.length(piece)
             end = start + F.length(match)
-            new = item(start, end, match, piece, F.get(both["p"], i + 1))
+            first = F.greatest(2 * i + 2 - REACH, F.lit(1))
+            before = F.right(F.array_join(F.slice(both["w"], first, 2 * i + 2 - first), ""),
+                             F.lit(CONTEXT))
+            after = F.left(F.array_join(F.slice(both["w"], 2 * i + 3, F.lit(REACH)), ""),
+                           F.lit(CONTEXT))
+            new = item(start, end, match, before, after)
             return F.struct(end.alias("at"), F.when(
                 new.isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(new))
                                                       ).alias("out"))
@@ -86,7 +101,10 @@ def _located(text: Column, pattern: str, item, kind: str) -> Column:
                            lambda state: state["out"])
 
     def found(matches: Column) -> Column:
-        both = F.struct(matches.alias("m"), F.split(text, pattern, -1).alias("p"))
+        pieces = F.split(text, pattern, -1)
+        near = F.flatten(F.zip_with(pieces, matches, lambda p, m: F.array(
+            ends(p), F.coalesce(m, F.lit(""))))) if kind == SPAN else F.array().cast("array<string>")
+        both = F.struct(matches.alias("m"), pieces.alias("p"), near.alias("w"))
         return F.when(F.size(matches) == 0, F.array().cast(f"array<{kind}>")).otherwise(
             bound(both, walk))
     return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
@@ -97,12 +115,10 @@ def base_spans(text: Column) -> Column:
     parts = []
     for number, (kind, pattern) in enumerate(PATTERNS.items()):
         def item(start, end, match, before, after, number=number, kind=kind):
-            left = F.when(F.length(before) > CONTEXT, F.substring(
-                before, F.length(before) - (CONTEXT - 1), F.lit(CONTEXT))).otherwise(before)
             return F.when(_holds(kind, match), F.struct(
                 start.cast("long").alias("start"), F.lit(number).alias("kind"),
-                end.cast("long").alias("end"), match.alias("value"), left.alias("left"),
-                F.substring(after, F.lit(1), F.lit(CONTEXT)).alias("right")))
+                end.cast("long").alias("end"), match.alias("value"), before.alias("left"),
+                after.alias("right")))
         spans = _located(text, pattern, item, SPAN)
         if kind == "email":
             spans = F.when(F.contains(text, F.lit("@")), spans).otherwise(
@@ -119,17 +135,17 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 
 def _context_terms(found: DataFrame) -> DataFrame:
-    """doc_id, txt, entity, context, term, start, end: every whole word around every mention."""
+    """txt, entity, context, term: every whole word around every mention."""
     def words(text: Column, offset: Column) -> Column:
-        return _located(text, r"[\p{L}\p{N}]+", lambda start, end, match, _, __: F.struct(
+        return _located(text, TERM, lambda start, end, match, _, __: F.struct(
             (offset + start).cast("long").alias("start"),
             (offset + end).cast("long").alias("end"), F.lower(match).alias("term")), PLACE)
 
     value = F.col("m.value")
     entity = F.concat(F.col("m.kind").cast("string"), F.lit(":"), F.when(
         F.col("m.kind") >= 2, F.regexp_replace(value, "[^0-9]", "")).otherwise(F.lower(value)))
-    rows = found.select("doc_id", "txt", "base", F.explode("base").alias("m")).select(
-        "doc_id", "txt", "base", entity.alias("entity"), "m",
+    rows = found.select("txt", "base", F.explode("base").alias("m")).select(
+        "txt", "base", entity.alias("entity"), "m",
         F.xxhash64("m.left", "m.right").alias("context"))
     left = F.filter(words(F.col("m.left"), F.col("m.start") - F.length("m.left")),
                     lambda w: (F.length("m.left") < CONTEXT)
@@ -138,18 +154,20 @@ def _context_terms(found: DataFrame) -> DataFrame:
                      lambda w: (F.length("m.right") < CONTEXT)
                      | (w["end"] < F.col("m.end") + CONTEXT))
     rows = rows.withColumn("w", F.explode(F.concat(left, right)))
-    free = ~F.exists("base", lambda b: (b["start"] < F.col("w.end")) & (b["end"] > F.col("w.start")))
-    return rows.where(free).select("doc_id", "txt", "entity", "context", "w.term", "w.start", "w.end")
+    return rows.where(_free("base", F.col("w"))).select("txt", "entity", "context", "w.term")
+
+
+def _free(spans: str, place: Column) -> Column:
+    return ~F.exists(spans, lambda b: (b["start"] < place["end"]) & (b["end"] > place["start"]))
 
 
 def corpus_words(text: Column) -> Column:
-    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    return F.array_distinct(F.transform(F.split(text, r"[^\p{L}\p{N}]+"), F.lower))
 
 
-def disclosure(docs: DataFrame, found: DataFrame, terms: DataFrame, support: int,
-               least: float) -> DataFrame:
-    """entity, term, disclosure for the pairs seen in at least `support` different contexts whose
-    disclosure is `least` or more.
+def disclosing(docs: DataFrame, found: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """doc_id, txt, marks: of each text that holds disclosing terms these, with what to write there
+    instead. A term that discloses several entities has the strictest label.
 
     Texts in which a term occurs near any entity are some of those in which it occurs, so they
     bound its disclosure from above. Only terms that pass by that bound are counted in the corpus.
@@ -159,33 +177,47 @@ def disclosure(docs: DataFrame, found: DataFrame, terms: DataFrame, support: int
         shared = F.log2(F.col("n_tc") * F.col("n") / (n_t * F.col("n_c")))
         return F.when(information > 0, shared / information).otherwise(F.lit(0.0))
 
+    terms = stored(_context_terms(found.where(F.size("base") > 0)), "terms")
     pairs = terms.groupBy("entity", "term").agg(
         F.count_distinct("context").alias("_support"),
-        F.count_distinct("txt").alias("n_tc")).where(F.col("_support") >= support)
+        F.count_distinct("txt").alias("n_tc")).where(F.col("_support") >= limits.support)
     entities = terms.groupBy("entity").agg(F.count_distinct("txt").alias("n_c"))
     nearby = terms.groupBy("term").agg(F.count_distinct("txt").alias("_near"))
     total = found.agg(F.count_distinct("txt").alias("n"))
     likely = stored(pairs.join(entities, "entity").join(nearby, "term").join(
-        F.broadcast(total), F.lit(True)).where(value(F.col("_near")) >= least), "likely")
-    used = (docs.select(F.xxhash64(text_of()).alias("txt"),
-                        F.explode(corpus_words(text_of())).alias("term"))
-            .join(likely.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
-                F.count_distinct("txt").alias("n_t")))
-    return likely.join(used, "term").select(
-        "entity", "term", value(F.col("n_t")).alias("disclosure")).where(
-        F.col("disclosure") >= least)
+        F.broadcast(total), F.lit(True)).where(value(F.col("_near")) >= limits.generalise), "likely")
+    used = stored(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("txt"),
+        F.explode(corpus_words(text_of())).alias("term")).join(
+            likely.select("term").distinct(), "term", "left_semi"), "used")
+    label = (F.when(F.col("disclosure") >= limits.remove, F.lit(""))
+             .when(F.col("term").rlike(r"\p{N}"), F.lit("[NUMBER]")).otherwise(F.lit("[TERM]")))
+    risky = stored(likely.join(used.groupBy("term").agg(F.count_distinct("txt").alias("n_t")), "term")
+                   .withColumn("disclosure", value(F.col("n_t")))
+                   .where(F.col("disclosure") >= limits.generalise)
+                   .groupBy("term").agg(F.min(label).alias("label")), "risky")
+    return used.join(risky, "term").groupBy("doc_id", "txt").agg(
+        F.collect_set(F.struct("term", "label")).alias("marks"))
 
 
 def term_spans(docs: DataFrame, found: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """doc_id, txt, extra: the places of disclosing terms, with what to write there instead."""
-    terms = stored(_context_terms(found.where(F.size("base") > 0)), "terms")
-    risky = disclosure(docs, found, terms, limits.support, limits.generalise)
-    label = (F.when(F.col("disclosure") >= limits.remove, F.lit(""))
-             .when(F.col("term").rlike(r"\p{N}"), F.lit("[NUMBER]")).otherwise(F.lit("[TERM]")))
-    return terms.join(risky, ["entity", "term"]).withColumn("_label", label).groupBy(
-        "doc_id", "txt", "start", "end").agg(F.min("_label").alias("label")).groupBy(
-        "doc_id", "txt").agg(F.collect_list(F.struct(
-            "start", F.lit(len(PATTERNS)).alias("kind"), "end", "label")).alias("extra"))
+    """doc_id, txt, extra: the places of disclosing terms in all texts, with what to write there
+    instead; those within mentions too."""
+    marks = stored(disclosing(docs, found, limits), "marks").withColumnsRenamed(
+        {"doc_id": "_d", "txt": "_t"})
+    label = F.map_from_entries("marks")
+
+    def item(start, end, match, _, __):
+        new = F.try_element_at(label, F.lower(match))
+        return F.when(new.isNotNull(), F.struct(
+            start.cast("long").alias("start"), F.lit(len(PATTERNS)).alias("kind"),
+            end.cast("long").alias("end"), new.alias("label")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(text_of()).alias("txt"), text_of().cast("string").alias("_text"))
+    return rows.join(marks, F.col("doc_id").eqNullSafe(F.col("_d")) & (
+        F.col("txt") == F.col("_t"))).select(
+            "doc_id", "txt", _located(F.col("_text"), TERM, item, EXTRA).alias("extra")
+        ).dropDuplicates(["doc_id", "txt"])
 
 
 def sanitised(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -199,8 +231,9 @@ def sanitised(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return found.join(
         extra.withColumnsRenamed({"doc_id": "_d", "txt": "_t"}),
         F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("txt") == F.col("_t")), "left").select(
-        "doc_id", "txt", "base",
-        F.coalesce("extra", F.array().cast(f"array<{EXTRA}>")).alias("extra"))
+        "doc_id", "txt", "base", F.coalesce(
+            F.filter("extra", lambda e: _free("base", e)),
+            F.array().cast(f"array<{EXTRA}>")).alias("extra"))
 
 
 def listed(spans: Column) -> Column:
@@ -238,7 +271,7 @@ def sanitise(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.transform("base", lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
             F.get(labels, s["kind"]).alias("label"))), F.col("extra")))
-    found = (sanitised(docs, limits).where(F.size("base") > 0)
+    found = (sanitised(docs, limits).where((F.size("base") > 0) | (F.size("extra") > 0))
              .select(F.col("doc_id").alias("_id"), F.col("txt").alias("_txt"), spans.alias("_spans"))
              .dropDuplicates(["_id", "_txt"]))
     rows = docs.withColumn("_hash", F.xxhash64(text_of())).join(
@@ -255,11 +288,14 @@ def sanitise(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def digest(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Counts by kind, a hash of the base spans and all spans as text, one row per row of `docs`."""
+    """Counts by kind, a hash of the base spans, all spans of texts with a mention as text, and in
+    `elsewhere` the places of disclosing terms in texts without one. One row per row of `docs`."""
     rows = sanitised(docs, limits).withColumns({"_base": bare(F.col("base"))})
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
               for k, name in enumerate(PATTERNS)]
+    every, mentioned = listed(F.array_sort(F.concat("_base", bare(F.col("extra"))))), F.size("base") > 0
     return rows.select(
         "doc_id", *counts, F.sha2(listed(F.col("_base")), 256).alias("base_sha256"),
-        listed(F.array_sort(F.concat("_base", bare(F.col("extra"))))).alias("spans"))
+        F.when(mentioned, every).otherwise(F.lit("")).alias("spans"),
+        F.when(mentioned, F.lit("")).otherwise(every).alias("elsewhere"))

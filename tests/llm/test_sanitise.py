@@ -103,3 +103,24 @@ def test_sanitise_keeps_the_rest(spark):
 def test_empty_table_and_repeats(spark):
     assert digest(frame(spark, [])).collect() == [] and sanitise(frame(spark, [])).collect() == []
     assert sanitise(frame(spark, [(1, "a@b.c", None, None, None, None)] * 3)).count() == 3
+
+
+def test_terms_go_everywhere(spark):
+    """Also far from the mention and without it; neighbouring mentions do not cut a context."""
+    far = prose(9, 80)
+    texts = [f"{prose(i, 3)} zorblat a{i}@x.example, b{i}@x.example, boss@corp.example {far} Zorblat"
+             for i in range(4)]
+    texts += [f"{prose(i, 30)} writes" for i in range(100, 140)]
+    texts += ["who is ZORBLAT?", "zorblatt", None]
+    df = frame(spark, [(i, t, None, None, 1, None) for i, t in enumerate(texts)])
+    rows = {r.doc_id: r for r in digest(df, Limits(generalise=0.6)).collect()}
+    for i in range(4):
+        places = [x.split(":") for x in rows[i].spans.split(",") if x.startswith("term")]
+        found = [texts[i][int(a):int(b)] for _, a, b in places]
+        assert found.count("zorblat") == 1 and found.count("Zorblat") == 1
+        assert rows[i].elsewhere == ""
+    assert (rows[44].spans, rows[44].elsewhere) == ("", "term:7:14")
+    assert rows[45].elsewhere == rows[46].elsewhere == ""
+    clean = {r.doc_id: r for r in sanitise(df, Limits(generalise=0.6)).collect()}
+    assert not any("zorblat" in clean[i].text.lower() for i in [*range(4), 44])
+    assert clean[44].n_chars == len(clean[44].text) and clean[45].text == "zorblatt"
