@@ -8,6 +8,8 @@ which passages decide.
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +22,10 @@ from millrace.llm.hashing import U64, text_bytes, word_hashes, words
 
 PASSAGE = 64
 HIDDEN, GATE = 24, 16
-# Training looks at this many documents at most, and at this many passages of each, evenly spaced
-# over the whole text. Scoring always looks at every passage.
-MOST_DOCUMENTS, MOST_PASSAGES = 4000, 48
+# Training looks at this many documents at most, and like scoring at every passage of each.
+MOST_DOCUMENTS = 4000
+# Encoded passages held at once in training, and bytes of text a task encodes for it.
+PIECE, PART = 8192, 8 << 20
 EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.01, 1e-4
 BUCKETS = 32
 
@@ -146,14 +149,107 @@ def _gradient(w, x, owner, y):
             "U": h.T @ dg, "W": x.T @ du, "b": du.sum(0)}
 
 
-def train(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+def _long_gradient(w, pieces, y):
+    """The gradient of one bag that comes in pieces; pieces() reads them anew. The softmax is summed
+    over the pieces first. z . dz is the weighted sum of da over the bag."""
+    top, total, z = -np.inf, 0.0, 0.0
+    for x in pieces():
+        h = np.tanh(x @ w["W"] + w["b"])
+        s = (np.tanh(h @ w["V"]) / (1 + np.exp(-(h @ w["U"])))) @ w["w"]
+        high = max(top, float(s.max()))
+        old, e = np.exp(top - high), np.exp(s - high)
+        top, total, z = high, total * old + float(e.sum()), z * old + e @ h
+    z = z / total
+    p = 1 / (1 + np.exp(-np.clip(z @ w["c"] + w["d"][0], -30, 30)))
+    out = p - y
+    dz = out * w["c"]
+    sums = {"c": z * out, "d": np.array([out]), **{k: np.zeros_like(w[k]) for k in "wVUWb"}}
+    for x in pieces():
+        h = np.tanh(x @ w["W"] + w["b"])
+        t, g = np.tanh(h @ w["V"]), 1 / (1 + np.exp(-(h @ w["U"])))
+        a = np.exp((t * g) @ w["w"] - top) / total
+        ds = a * (h @ dz - z @ dz)
+        dt, dg = ds[:, None] * w["w"] * g, ds[:, None] * w["w"] * t
+        dt, dg = dt * (1 - t * t), dg * g * (1 - g)
+        du = (a[:, None] * dz + dt @ w["V"].T + dg @ w["U"].T) * (1 - h * h)
+        for k, v in (("w", (t * g).T @ ds), ("V", h.T @ dt), ("U", h.T @ dg), ("W", x.T @ du),
+                     ("b", du.sum(0))):
+            sums[k] = sums[k] + v
+    return sums
+
+
+class Bags:
+    """Encoded bags in a file of the driver's own: memory holds a piece of them."""
+
+    def __init__(self):
+        self.file, self.first, self.size, self.key, self.labels = (
+            tempfile.TemporaryFile(), [], [], [], [])
+        self.rows = 0
+
+    def add(self, data: bytes, label: int, fresh: bool) -> None:
+        """A bag, or the next piece of the one before."""
+        if fresh:
+            self.first.append(self.rows)
+            self.size.append(0)
+            self.key.append(hashlib.blake2b(digest_size=16))
+            self.labels.append(int(label > 0))
+        self.file.write(data)
+        self.key[-1].update(data)
+        n = len(data) // (4 * FEATURES)
+        self.size[-1] += n
+        self.rows += n
+
+    def order(self) -> list[int]:
+        """By content, so that it does not depend on how the rows lie."""
+        return sorted(range(len(self.size)), key=lambda i: (self.key[i].digest(), self.labels[i]))
+
+    def pieces(self, i: int) -> Iterator[np.ndarray]:
+        for at in range(0, self.size[i], PIECE):
+            n = min(PIECE, self.size[i] - at)
+            self.file.seek((self.first[i] + at) * 4 * FEATURES)
+            yield np.frombuffer(self.file.read(n * 4 * FEATURES), "<f4").reshape(n, FEATURES)
+
+
+def _moments(bags: Bags, order: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    mean = sum(x.sum(0, dtype=np.float64) for i in order for x in bags.pieces(i)) / bags.rows
+    square = sum(((x - mean) ** 2).sum(0) for i in order for x in bags.pieces(i)) / bags.rows
+    return mean.astype(np.float32), np.sqrt(square).astype(np.float32) + np.float32(0.02)
+
+
+def batch_gradient(w, bags: Bags, part: list[int], scaled) -> dict[str, np.ndarray]:
+    """The mean gradient over the bags `part`: short ones together, long ones in pieces."""
+    groups, held = [[]], 0
+    for i in part:
+        if held + bags.size[i] > PIECE and groups[-1]:
+            groups.append([])
+            held = 0
+        groups[-1].append(i)
+        held += bags.size[i]
+    total = {k: np.zeros_like(x) for k, x in w.items()}
+    for group in groups:
+        if len(group) == 1 and bags.size[group[0]] > PIECE:
+            i = group[0]
+            grads = _long_gradient(w, lambda i=i: map(scaled, bags.pieces(i)), bags.labels[i])
+        else:
+            owner = np.repeat(np.arange(len(group)), [bags.size[i] for i in group])
+            x = np.concatenate([p for i in group for p in bags.pieces(i)])
+            grads = _gradient(w, scaled(x), owner,
+                              np.array([bags.labels[i] for i in group], np.float32))
+        for k, g in grads.items():
+            total[k] = total[k] + (g * (len(group) / len(part))).astype(w[k].dtype)
+    return total
+
+
+def train(bags: Bags, seed: int = 7) -> Model:
     """Adam on the log-loss of the documents, in a fixed order of batches."""
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags)
-    mean, scale = every.mean(0), every.std(0) + np.float32(0.02)
-    bags = [((b - mean) / scale).clip(-6, 6) for b in bags]
-    f = every.shape[1]
-    share = float(np.clip(labels.mean(), 0.01, 0.99))
+    order = bags.order()
+    mean, scale = _moments(bags, order)
+
+    def scaled(x):
+        return ((x - mean) / scale).clip(-6, 6)
+    f = FEATURES
+    share = float(np.clip(np.mean(bags.labels), 0.01, 0.99))
     w = {"W": rng.normal(0, 1 / np.sqrt(f), (f, HIDDEN)), "b": np.zeros(HIDDEN),
          "V": rng.normal(0, 0.3, (HIDDEN, GATE)), "U": rng.normal(0, 0.3, (HIDDEN, GATE)),
          "w": rng.normal(0, 0.3, GATE), "c": rng.normal(0, 0.3, HIDDEN),
@@ -162,12 +258,9 @@ def train(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     step = 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(bags))
-        for s in range(0, len(order), BATCH):
-            part = order[s:s + BATCH]
-            owner = np.repeat(np.arange(len(part)), [len(bags[i]) for i in part])
-            grads = _gradient(w, np.concatenate([bags[i] for i in part]), owner,
-                              labels[part].astype(np.float32))
+        dealt = [order[i] for i in rng.permutation(len(order))]
+        for s in range(0, len(dealt), BATCH):
+            grads = batch_gradient(w, bags, dealt[s:s + BATCH], scaled)
             step += 1
             for k, g in grads.items():
                 g = g + DECAY * w[k]
@@ -182,14 +275,14 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, data, bounds in text_bytes(batch.column(0)):
             owner, x = passages(data, bounds)
-            kept = []
-            for i in range(len(bounds) - 1):
+            labels = batch.column(1).slice(row, len(bounds) - 1).to_pylist()
+            for i, label in enumerate(labels):
                 a, b = np.searchsorted(owner, [i, i + 1])
-                at = np.unique(np.linspace(a, b - 1, min(b - a, MOST_PASSAGES)).round().astype(int))
-                kept.append(x[at].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, pa.binary()), batch.column(1).slice(row, len(kept))],
-                names=["bag", "label"])
+                for at in range(a, b, PIECE):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[at:min(b, at + PIECE)].astype("<f4").tobytes()], pa.binary()),
+                         pa.array([label], pa.int32()), pa.array([at == a])],
+                        names=["bag", "label", "fresh"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
@@ -203,16 +296,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         "doc_id").agg(F.min(label).cast("int").alias("_label"))
     there = docs.select("doc_id").join(marked, "doc_id").distinct()
     chosen = stored(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labelled")
+    texts = stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
+        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled_texts")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bags = Bags()
     with small_batches(docs.sparkSession):
-        bags = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-            F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select(
-            "text", "_label").mapInArrow(_bags, "bag binary, label int").toArrow()
-    if not len(bags):
-        return None
-    x = [np.frombuffer(b.as_py(), "<f4").reshape(-1, FEATURES) for b in bags.column("bag")]
-    y = (bags.column("label").to_numpy() > 0).astype(int)
-    order = sorted(range(len(x)), key=lambda i: (x[i].tobytes(), y[i]))
-    return train([x[i] for i in order], y[order])
+        # A part at a time comes to the driver, and the pieces of a bag one after the other.
+        for row in texts.repartition(1 + size // PART, "doc_id").select("text", "_label").mapInArrow(
+                _bags, "bag binary, label int, fresh boolean").toLocalIterator():
+            bags.add(row.bag, row.label, row.fresh)
+    return train(bags) if bags.rows else None
 
 
 def _score(model_of):

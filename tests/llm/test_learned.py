@@ -6,7 +6,7 @@ import pytest
 from millrace.llm import attention, language_mix
 from millrace.llm.common import table
 from millrace.llm.queries import QUERIES
-from tests.llm.cases import documents, frame
+from tests.llm.cases import documents, frame, prose
 
 SF = "/root/testdata/sf0.01"
 
@@ -107,3 +107,29 @@ def test_gradient():
             down = loss()
             values[at] = before
             assert grads[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_training_sees_every_passage(spark, monkeypatch):
+    """Of texts far longer than a piece, too; the pieces give the gradient of the whole bag."""
+    monkeypatch.setattr(attention, "PIECE", 50)
+    seen = []
+    monkeypatch.setattr(attention, "train", lambda bags, *_: seen.append(bags))
+    texts = [prose(1, 20_000), prose(2, 3_500), prose(3, 64), None]
+    docs = frame(spark, [(i, t, None, None, None, None) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    attention.fit(docs, labels)
+    bags = seen[0]
+    assert sorted(bags.size) == [1, 1, 55, 313]
+    rng = np.random.default_rng(3)
+    w = {k: rng.normal(0, 0.3, n) for k, n in (
+        ("W", (attention.FEATURES, 4)), ("b", 4), ("V", (4, 3)), ("U", (4, 3)), ("w", 3),
+        ("c", 4), ("d", 1))}
+    whole = [np.concatenate(list(bags.pieces(i))) for i in range(4)]
+    for i, text in enumerate(texts):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        x = attention.passages(data, np.array([0, len(data)]))[1]
+        assert any(np.array_equal(x, y) for y in whole)
+    want = attention._gradient(w, np.concatenate(whole), np.repeat(np.arange(4), bags.size),
+                               np.array(bags.labels, float))
+    got = attention.batch_gradient(w, bags, list(range(4)), lambda x: x)
+    assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
