@@ -8,6 +8,8 @@ less a penalty for each further language is kept.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,24 +29,44 @@ UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-# Letters: A-Z, a-z and all bytes of longer UTF-8 characters, except for the general
-# punctuation and symbols that begin with E2 80-BF, and the ones of C2 80-BF.
-_LETTER = np.zeros(256, bool)
-_LETTER[97:123] = True
-_LETTER[128:] = True
-
-
-def letters(data: np.ndarray) -> np.ndarray:
+# Of each code point: 2 for a letter, 1 for a mark, which belongs to a letter before it, else 0.
+_KIND = np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0)
+                  for c in range(sys.maxunicode + 1)], np.uint8)
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte the kind of its character."""
+    kind = np.where(data < 128, _KIND[data], 0).astype(np.uint8)
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int32)
+        one, two, three = (data[np.minimum(lead + j, len(data) - 1)].astype(np.int32) & 0x3F
+                           for j in (1, 2, 3))
+        width = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = np.choose(width - 2, [
+            (first & 0x1F) << 6 | one, (first & 0x0F) << 12 | one << 6 | two,
+            (first & 0x07) << 18 | one << 12 | two << 6 | three])
+        found = _KIND[np.minimum(code, sys.maxunicode)]
+        kind[lead] = found
+        for j in (1, 2, 3):
+            mine = (width > j) & (lead + j < len(data))
+            at = lead[mine] + j
+            kind[at] = np.where(data[at] & 0xC0 == 0x80, found[mine], kind[at])
+    return kind
+
+
+def letters(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Lower-cased bytes, with 0 for what belongs to no letter."""
     low = _FOLD[data]
-    mark = _LETTER[low]
-    lead = np.flatnonzero((data == 0xC2) | (data == 0xE2) | (data == 0xEF) | (data == 0xF0))
-    for first, width in ((0xC2, 2), (0xE2, 3), (0xF0, 4)):
-        at = lead[data[lead] == first]
-        for j in range(width):
-            mark[np.minimum(at + j, len(data) - 1)] = False
+    kind = _kinds(data)
+    heads = bounds[bounds < len(data)]
+    kind[heads[kind[heads] == 1]] = 0
+    mark = kind == 2
+    if (kind == 1).any():
+        base = np.maximum.accumulate(np.where(kind != 1, np.arange(len(data)), -1))
+        mark |= (kind == 1) & (base >= 0) & (kind[base] == 2)
     # Latin capitals of two bytes, C3 80 to C3 9E, to their small forms.
-    at = np.flatnonzero(data[:-1] == 0xC3) if len(data) else lead
+    at = np.flatnonzero(data[:-1] == 0xC3)
     upper = at[(data[at + 1] >= 0x80) & (data[at + 1] <= 0x9E)] if len(at) else at
     low[upper + 1] += 0x20
     return np.where(mark, low, 0)
@@ -55,7 +77,7 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     Words are runs of letters; a gram may hold the gaps before and after its word.
     """
-    low = letters(data)
+    low = letters(data, bounds)
     solid = low > 0
     first = np.zeros(len(data) + 1, bool)
     first[bounds] = True

@@ -109,6 +109,21 @@ def test_gradient():
             assert grads[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
+def test_letters_by_code_point(spark):
+    """Letters of every script count, marks only after a letter, and nothing else."""
+    words = {"tif": "ⵜⴰⵎⴰⵣⵉⵖⵜ ⴰⵡⴰⵍ", "adl": "𞤀𞤣𞤤𞤢𞤥 𞤆𞤵𞤤𞤢𞤪", "hi": "हिन्दी भाषा", "en": "plain words"}
+    train = frame(spark, [(i, t, x, None, None, None) for i, (x, t) in enumerate(words.items())])
+    none = ["❤️", "！", "。", "٣", "×", "12 ÷ 3", "́", "", None]
+    asked = frame(spark, [(i, t, None, None, None, None)
+                          for i, t in enumerate([*words.values(), *none])])
+    got = {r.doc_id: r for r in language_mix.predict(asked, language_mix.fit(train)).collect()}
+    assert [got[i].lang_pred for i in range(4)] == list(words)
+    assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in range(4, len(got)))
+    data = np.frombuffer("हिन्दीé".encode() + "́a".encode(), np.uint8)
+    _, word, text = language_mix.grams(data, np.array([0, 20, len(data)]))
+    assert text.tolist() == [0, 1] and len(word) == 21
+
+
 def test_training_sees_every_passage(spark, monkeypatch):
     """Of texts far longer than a piece, too; the pieces give the gradient of the whole bag."""
     monkeypatch.setattr(attention, "PIECE", 50)
