@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.settings import scratch
+from millrace.settings import remove, scratch
 
 # A word is a run without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,16 +32,54 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]
         spark.conf.set(key, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# The work tables of the outcome that is being computed.
+_TABLES: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The frame, written to the shared work area and read back: later steps reread it, lost
     executors included, and its lineage ends here."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
+    tables = _TABLES.get()
+    if tables is not None:
+        tables.append(path)
     with small_batches(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def outcome(spark: SparkSession, name: str, build: Callable[[], DataFrame],
+            path: str | None = None) -> DataFrame:
+    """The frame that `build` makes, stored. The work tables stored on the way are removed, also when
+    it fails, so disk holds those of one step at a time."""
+    outer, tables = _TABLES.get(), []
+    token = _TABLES.set(tables)
+    kept = None
+    try:
+        result = stored(build(), name, path)
+        kept = tables.pop()
+    finally:
+        _TABLES.reset(token)
+        for path in tables:
+            remove(spark, path)
+    if outer is not None:
+        outer.append(kept)
+    return result
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores as keep them apart from the frame's columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once per row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

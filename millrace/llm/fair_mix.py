@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import slices, stored, word_count
+from millrace.llm.common import outcome, slices, spare, stored, word_count
 
 REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -119,6 +119,17 @@ def cut(queue: DataFrame, budget: int) -> DataFrame:
     return queue.where(cell < edge[0]).unionByName(last)
 
 
+def _times(rows: DataFrame, queue: DataFrame) -> DataFrame:
+    """_d, _t, _s, _times, _rows: how often the mix takes the rows of a document, text and source. Equal
+    rows queue side by side and share what was taken of them."""
+    taken = queue.groupBy("doc_id", "_text", "source").agg(F.count(F.lit(1)).alias("_times"))
+    copies = rows.groupBy("doc_id", "_text", "source").agg(F.count(F.lit(1)).alias("_rows"))
+    return taken.join(copies, (taken.doc_id.eqNullSafe(copies.doc_id))
+                      & (taken._text == copies._text) & taken.source.eqNullSafe(copies.source)
+                      ).select(taken.doc_id.alias("_d"), taken._text.alias("_t"),
+                               taken.source.alias("_s"), "_times", "_rows")
+
+
 def mix(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of `docs`.
 
@@ -129,13 +140,7 @@ def mix(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17
     rows of their own. Sources without words have target 0. An empty table gives no rows.
     """
     rows, queue = schedule(docs, word_count(F.col("text").cast("string")), repeats, weights, seed)
-    # Equal rows (same document and text) queue side by side and share what was taken of them.
-    taken = queue.groupBy("doc_id", "_text", "source").agg(F.count(F.lit(1)).alias("_times"))
-    copies = rows.groupBy("doc_id", "_text", "source").agg(F.count(F.lit(1)).alias("_rows"))
-    taken = taken.join(copies, (taken.doc_id.eqNullSafe(copies.doc_id))
-                       & (taken._text == copies._text) & taken.source.eqNullSafe(copies.source)
-                       ).select(taken.doc_id.alias("_d"), taken._text.alias("_t"),
-                                taken.source.alias("_s"), "_times", "_rows")
+    taken = _times(rows, queue)
     alike = Window.partitionBy("doc_id", "_text", "source").orderBy("doc_id")
     return (rows.withColumn("_i", F.row_number().over(alike) - 1)
             .join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t"))
@@ -152,14 +157,22 @@ def mix(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17
 def mixed(docs: DataFrame, repeats: int = REPEATS, weights=WEIGHTS, seed: int = 17) -> DataFrame:
     """The rows of `docs`, with all columns, each as often as the mix takes it.
 
-    doc_id identifies a document: of repeated rows each is repeated by its own share. Sizes are
-    those of `mix`; rows that are not taken go.
+    Rows of equal doc_id, text and source are repeated by their own shares, which differ by one at
+    most; null ids are told apart by their text. Sizes are those of `mix`; rows that are not taken
+    go. Columns may have any names.
     """
-    taken = stored(mix(docs, repeats, weights, seed).where("times > 0").groupBy("doc_id").agg(
-        F.sum("times").alias("_all"), F.count(F.lit(1)).alias("_rows")), "taken")
-    # The same number for each row with an id; ids are unique but for repeated rows.
-    rows = docs.join(taken.withColumnRenamed("doc_id", "_id"),
-                     F.col("doc_id").eqNullSafe(F.col("_id")))
-    again = F.explode(F.sequence(F.lit(1), F.greatest(
-        F.floor(F.col("_all") / F.col("_rows")), F.lit(1)).cast("int")))
-    return rows.withColumn("_again", again).select(*docs.columns)
+    doc, txt, source, times, rows_, own, again = spare(
+        docs, "_d", "_t", "_s", "_times", "_rows", "_own", "_again")
+    taken = outcome(docs.sparkSession, "taken", lambda: _times(*schedule(
+        docs, word_count(F.col("text").cast("string")), repeats, weights, seed))
+        ).toDF(doc, txt, source, times, rows_)
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(
+        F.col("text").cast("string"), F.lit("")))).join(
+        taken, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(txt))
+        & F.col("source").cast("string").eqNullSafe(F.col(source)))
+    alike = Window.partitionBy(doc, txt, source).orderBy(own)
+    single = rows.where(F.col(rows_) == 1).withColumn(again, F.col(times))
+    several = rows.where(F.col(rows_) > 1).withColumn(again, F.floor(
+        (F.col(times) + F.col(rows_) - F.row_number().over(alike)) / F.col(rows_)))
+    return single.unionByName(several).where(F.col(again) > 0).withColumn(again, F.explode(
+        F.sequence(F.lit(1).cast("long"), F.col(again)))).select(*docs.columns)

@@ -12,9 +12,10 @@ same for all documents of one size band, and a document's set falls into one seg
 
 Documents with equal sets are one class before any of this, so copies are never paired up. Within
 a segment's group each class is first compared to the group's hub, the class that has most in
-common with others. After that only classes of different components are compared with each other,
-and those that resemble one hub only if they share rare differences from it. No link that could
-join two components is left out.
+common with others. After that only classes of different components are compared with each other.
+Those that resemble one hub are compared if they share rare differences from the consensus of its
+group, the others if they share one of their rarest segments. No link that could join two components
+is left out.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import outcome, stored
 from millrace.llm.graph import components
 from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 
@@ -35,10 +36,11 @@ from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 # document's segment.
 COUNTED = 8
 SIGNED = ("doc_id long, n long, s1 long, s2 long, band int, need_own int, need_below int, "
-          "signatures array<long>")
-# A hub's neighbour is looked at closely when it meets the hub in a quarter of the segments that a
-# linked one has to.
-NEAR = 4
+          "own int, signatures array<long>")
+# Hubs that a set is tested against, and that it keeps of those it resembles.
+TESTED, KEPT = 3, 2
+# Members of a hub that share a row of its consensus: a hot hub is spread over many tasks.
+SALT = 1024
 SEGMENT = "doc_id long, fragment int, hashes array<long>"
 
 
@@ -71,15 +73,15 @@ def band_of(n: int, num: int, den: int) -> tuple[int, int]:
     return int(np.searchsorted(bands(num, den, top), n, side="right")) - 1, top
 
 
-def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int], np.ndarray]:
+def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int], np.ndarray, int]:
     """The band; for it and the one below, how many segments a linked partner has in common at
-    least; and for both a value for each of those segments."""
+    least; for both a value for each of those segments; and how many of these are its own band's."""
     n = len(hashes)
     if not n:
-        return 0, [1, 1], np.empty(0, U64)
+        return 0, [1, 1], np.empty(0, U64), 0
     band, top = band_of(n, num, den)
     mixed, high = mix(hashes + U64(1)), (hashes >> U64(32))
-    out, needs = [], []
+    out, needs, own = [], [], 0
     for b in (band, band - 1):
         cut, equal = fragments(num, den, b, top) if b >= 0 else (0, 0)
         needs.append(1)
@@ -94,21 +96,23 @@ def signatures(hashes: np.ndarray, num: int, den: int) -> tuple[int, list[int],
             full[there] = total
             there, total = np.arange(cut), full
         out.append(mix(total + mix(U64(cut) + (there.astype(U64) << U64(32)))))
-    return band, needs, np.concatenate(out) if out else np.empty(0, U64)
+        own += len(total) if b == band else 0
+    return band, needs, np.concatenate(out) if out else np.empty(0, U64), own
 
 
 def _sign(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, bounds in text_bytes(batch.column(1)):
-                n, s1, s2, signs, bands_, needs = [], [], [], [], [], []
+                n, s1, s2, signs, bands_, needs, owns = [], [], [], [], [], [], []
                 for hashes in shingle_sets(data, bounds, k):
                     n.append(len(hashes))
                     s1.append(mix(hashes).sum(dtype=U64))
                     s2.append(mix(hashes ^ U64(0x5555555555555555)).sum(dtype=U64))
-                    band, need, values = signatures(hashes, num, den)
+                    band, need, values, own = signatures(hashes, num, den)
                     bands_.append(band)
                     needs.append(need)
+                    owns.append(own)
                     signs.append(values)
                 ends = np.cumsum([0] + [len(x) for x in signs], dtype=np.int32)
                 flat = np.concatenate(signs) if signs else np.empty(0, U64)
@@ -117,8 +121,9 @@ def _sign(k: int, num: int, den: int):
                     pa.array(np.array(s1, U64).view(np.int64)),
                     pa.array(np.array(s2, U64).view(np.int64)), pa.array(bands_, pa.int32()),
                     *(pa.array([x[i] for x in needs], pa.int32()) for i in (0, 1)),
+                    pa.array(owns, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                    names=["doc_id", "n", "s1", "s2", "band", "need_own", "need_below",
+                    names=["doc_id", "n", "s1", "s2", "band", "need_own", "need_below", "own",
                            "signatures"])
     return run
 
@@ -161,23 +166,12 @@ def _reach(num: int, den: int) -> Column:
     return F.col("shared") * den >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * num
 
 
-def _candidates(met: DataFrame, about: DataFrame, num: int, den: int,
-                part: int = 1) -> DataFrame:
-    """a, b, n_a, n_b of the pairs whose sizes allow a link and that meet in enough segments, or in
-    a `part` of them. met: a row a, b for every segment in common."""
-    def side(x: str) -> DataFrame:
-        return about.select(F.col("rep").alias(x), *(
-            F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "need_own", "need_below")))
-
-    def need(x: str) -> Column:
-        return F.when(F.col(f"band_{x}") == F.least("band_a", "band_b"), F.col(f"need_own_{x}")
-                      ).otherwise(F.col(f"need_below_{x}"))
-
-    return (met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_m"))
-            .join(side("a"), "a").join(side("b"), "b")
+def _sized(pairs: DataFrame, about: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b, n_a, n_b of the pairs (a, b) whose sizes allow a link."""
+    sizes = about.select("rep", "n")
+    return (pairs.join(sizes.withColumnsRenamed({"rep": "a", "n": "n_a"}), "a")
+            .join(sizes.withColumnsRenamed({"rep": "b", "n": "n_b"}), "b")
             .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-            .where(F.col("_m") >= F.greatest(
-                F.floor(F.greatest(need("a"), need("b")) / part), F.lit(1)))
             .select("a", "b", "n_a", "n_b"))
 
 
@@ -186,76 +180,158 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
         "c", F.coalesce("component", "rep")).drop("component")
 
 
-def _elsewhere(starred: DataFrame, near: DataFrame, about: DataFrame, found: DataFrame,
+def _kept(near: DataFrame, about: DataFrame) -> DataFrame:
+    """Stored: hub, rep, n: of the hubs that a set is near to, the KEPT most popular. Versions of one
+    text are near to many hubs, and mostly to the same most popular ones."""
+    hubs = about.select(F.col("rep").alias("hub"), "popular")
+    return stored(near.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.col("n_b").alias(
+        "n")).join(hubs, "hub").groupBy("rep", "n").agg(F.slice(F.array_sort(F.collect_list(
+            F.struct((-F.col("popular")).alias("p"), "hub"))), 1, KEPT).alias("hubs")).select(
+        F.explode("hubs.hub").alias("hub"), "rep", "n"), "kept")
+
+
+def _elsewhere(starred: DataFrame, kept: DataFrame, about: DataFrame, found: DataFrame,
                num: int, den: int) -> DataFrame:
-    """Candidates of different components, by the segments they meet in where not both of them are
-    near the hub. A pair with another kind of segment in common is among those around that hub."""
-    mark = near.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.lit(True).alias("_n"))
-    placed = _with_component(starred, found).join(mark, ["hub", "rep"], "left").select(
-        "sign", "rep", "c", (F.col("_n").isNotNull() | (F.col("hub") == F.col("rep"))).alias("near"))
-    split = placed.groupBy("sign").agg(
-        F.min("c").alias("_x"), F.max("c").alias("_y"), F.min("near").alias("_all")).where(
-        "_x < _y and not _all").select("sign")
-    open_groups = stored(placed.join(split, "sign", "left_semi"), "open")
-    met = (open_groups.select("sign", F.col("rep").alias("a"), F.col("c").alias("_c"),
-                              F.col("near").alias("_m"))
-           .join(open_groups.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d"),
-                                    F.col("near").alias("_o")), "sign")
-           .where("a < b and _c <> _d and not (_m and _o)").select("a", "b"))
-    return _candidates(met, about, num, den)
-
-
-def _around_hubs(near: DataFrame, segments: DataFrame, found: DataFrame, num: int,
+    """Candidates of different components that have no hub in common, by the segments they meet in.
+
+    Linked sets share `need` segments of a band, hence one of the rarest (count - need + 1) of each
+    of them. So a passage of many short texts, whose segments are frequent, makes no pairs. In each
+    segment's group only those without the hub that most of the group has are paired up.
+    """
+    rarest = Window.partitionBy("rep", "below").orderBy("_m", "sign")
+    need = F.when(F.col("below"), F.col("need_below")).otherwise(F.col("need_own"))
+    size = F.when(F.col("below"), F.col("count") - F.col("own")).otherwise(F.col("own"))
+    # Segments that no one shares are the rarest: they come before those that are listed here.
+    listed = Window.partitionBy("rep", "below")
+    cut = (starred.join(about.select("rep", "need_own", "need_below", "own", "count"), "rep")
+           .withColumn("_at", F.row_number().over(rarest)
+                       + size - F.count(F.lit(1)).over(listed))
+           .where(F.col("_at") <= size - need + 1).select("sign", "rep"))
+    hubs = kept.groupBy("rep").agg(F.collect_list("hub").alias("hubs"))
+    placed = stored(_with_component(cut, found).join(hubs, "rep", "left").withColumn(
+        "hubs", F.concat(F.coalesce("hubs", F.array().cast("array<bigint>")), F.array("rep"))),
+        "placed")
+    split = placed.groupBy("sign").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
+        "_x < _y").select("sign")
+    main = placed.select("sign", F.explode("hubs").alias("hub")).groupBy("sign", "hub").agg(
+        F.count(F.lit(1)).alias("_k")).groupBy("sign").agg(F.max_by(
+            "hub", F.struct("_k", F.col("hub"))).alias("main"))
+    opened = stored(placed.join(main, "sign").where(~F.array_contains("hubs", F.col("main"))).join(
+        split, "sign", "left_semi").select("sign", F.col("rep").alias("a"), F.col("c").alias("_c"),
+                                           F.col("hubs").alias("_h")), "open")
+    others = placed.select("sign", F.col("rep").alias("b"), F.col("c").alias("_d"),
+                           F.col("hubs").alias("_i"))
+    met = opened.join(others, "sign").where(
+        (F.col("_c") != F.col("_d")) & ~F.arrays_overlap("_h", "_i")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _sized(met, about, num, den)
+
+
+def _from_consensus(around: DataFrame, segments: DataFrame) -> DataFrame:
+    """Stored: hub, rep, salts, fragment, edits: what each member of a hub's group differs by from the
+    consensus, the elements that more than half of the members hold."""
+    left = segments.select(F.col("doc_id").alias("hub"), "fragment", F.col("hashes").alias("_h"))
+    right = segments.select(F.col("doc_id").alias("rep"), "fragment", F.col("hashes").alias("_r"))
+    sizes = around.groupBy("hub").agg(F.count(F.lit(1)).alias("members"))
+    # A document whose row is repeated has its segments twice.
+    differing = stored(
+        around.select("hub", "rep").join(sizes, "hub").join(left.dropDuplicates(["hub", "fragment"]),
+                                                            "hub")
+        .join(right.dropDuplicates(["rep", "fragment"]), ["rep", "fragment"]).select(
+            "hub", "rep", "fragment", "members", F.concat(
+                F.array_except("_h", "_r"), F.array_except("_r", "_h")).alias("edits")), "differing")
+    salts = F.floor(F.col("members") / SALT).cast("int")
+    flips = differing.select("hub", "fragment", "members", F.explode("edits").alias("element")).groupBy(
+        "hub", "fragment", "element").agg(
+        F.count(F.lit(1)).alias("_f"), F.first("members").alias("members")).where(
+        2 * F.col("_f") > F.col("members")).groupBy("hub", "fragment").agg(
+        F.collect_list("element").alias("flips"), F.first("members").alias("members"))
+    flips = flips.select("hub", "fragment", "flips", F.explode(
+        F.sequence(F.lit(0), salts)).alias("salt"))
+    none = F.array().cast("array<bigint>")
+    return stored(differing.withColumn("salt", F.pmod(F.xxhash64("rep"), salts + 1).cast("int")).join(
+        flips, ["hub", "fragment", "salt"], "left").withColumn(
+        "flips", F.coalesce("flips", none)).select("hub", "rep", "fragment", F.concat(
+            F.array_except("edits", "flips"), F.array_except("flips", "edits")).alias("edits")),
+        "edits")
+
+
+def _around_hubs(kept: DataFrame, segments: DataFrame, found: DataFrame, num: int,
                  den: int) -> DataFrame:
-    """Candidates of different components that are near one hub.
+    """Candidates of different components that have a hub in common.
 
     Versions of one text all resemble its hub, so they meet in many segments, though few of them
-    are linked. What a set differs by from the hub tells them apart: with E(x) the symmetric
-    difference of x and the hub, |E(x) ^ E(y)| = |x ^ y|. A link allows at most D of that, so x and
-    y share (|E(x)| + |E(y)| - D) / 2 elements of their differences or more. That is more than 0,
-    for one of them is not linked to the hub. Ordered by how rare they are around the hub, the first
-    |E(x)| - shared + 1 elements of each must then have one in common. Partners are taken by
-    classes of |E(y)|, for which the number of shared elements is bounded well.
+    are linked. What a set differs by from the consensus of the group tells them apart: with E(x) the
+    symmetric difference of x and the consensus, |E(x) ^ E(y)| = |x ^ y|, and a link allows at most
+    D = (|x| + |y|) (den - num) / (den + num) of that. So x and y share (|E(x)| + |E(y)| - D) / 2
+    elements of their differences. Where that is above 0, then, ordered by how rare the elements are
+    around the hub, the first |E(x)| - shared + 1 of each have one in common, and after it each has
+    enough left. Partners are taken by classes of |E(y)| at most a twentieth apart. Where it is not
+    above 0 the pair is linked for certain; so are both with the member nearest to the consensus.
     """
-    steps = [1]
+    steps = [0, 1]
     while steps[-1] < 1 << 40:
-        steps.append(max(steps[-1] + 1, steps[-1] * 3 // 2))
+        steps.append(max(steps[-1] + 1, steps[-1] * 21 // 20))
     table = F.lit(steps)
 
-    placed = _with_component(near.select(
-        F.col("a").alias("hub"), F.col("b").alias("rep"), F.col("n_b").alias("n")), found)
+    def class_of(e: Column) -> Column:
+        return F.size(F.filter(table, lambda s: s <= e)) - 1
+
+    placed = _with_component(kept, found)
     mixed = placed.groupBy("hub").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
         "_x < _y").select("hub")
     around = stored(placed.join(mixed, "hub", "left_semi"), "around")
-    left = segments.select(F.col("doc_id").alias("hub"), "fragment", F.col("hashes").alias("_h"))
-    right = segments.select(F.col("doc_id").alias("rep"), "fragment", F.col("hashes").alias("_r"))
-    differing = stored(
-        around.select("hub", "rep").join(left, "hub").join(right, ["rep", "fragment"]).select(
-            "hub", "rep", F.explode(F.concat(
-                F.array_except("_h", "_r"), F.array_except("_r", "_h"))).alias("element"))
-        .distinct(), "differing")
-    sizes = differing.groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("e"))
-    members = around.join(sizes, ["hub", "rep"]).withColumn(
-        "own", F.size(F.filter(table, lambda s: s <= F.col("e"))) - 1)
-    span = members.groupBy("hub").agg(F.min("own").alias("_low"), F.max("own").alias("_top"))
+    edits = _from_consensus(around, segments)
+    sizes = edits.groupBy("hub", "rep").agg(F.sum(F.size("edits")).alias("e"))
+    members = stored(around.join(sizes, ["hub", "rep"]).withColumn(
+        "slack", F.col("e") * (den + num) - F.col("n") * (den - num)), "members")
+    # Links for certain, each by the nearest member.
+    best = members.groupBy("hub").agg(F.min(F.struct("slack", "rep", "n", "c")).alias("m"))
+    sure = members.join(best, "hub").where(
+        (F.col("slack") + F.col("m.slack") <= 0) & (F.col("rep") != F.col("m.rep"))
+        & (F.col("c") != F.col("m.c"))).select(
+        F.least("rep", "m.rep").alias("a"), F.greatest("rep", "m.rep").alias("b"),
+        F.when(F.col("rep") < F.col("m.rep"), F.col("n")).otherwise(F.col("m.n")).alias("n_a"),
+        F.when(F.col("rep") < F.col("m.rep"), F.col("m.n")).otherwise(F.col("n")).alias("n_b"))
+    # Elements that one member has alone are the rarest of its differences and never shared.
+    one = edits.select("hub", "rep", F.explode("edits").alias("element"))
+    common = one.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
+    rare = stored(one.join(common, ["hub", "element"]), "rare")
+    by_rarity = Window.partitionBy("hub", "rep").orderBy("_f", "element")
+    every = Window.partitionBy("hub", "rep")
     most = F.floor(F.col("n") * (den - num) / num)
-    shared = F.ceil((F.col("e") + F.get(table, F.col("other")) - most) / 2)
-    members = (members.join(span, "hub")
-               .withColumn("other", F.explode(F.sequence("_low", "_top")))
-               .withColumn("prefix", F.col("e") - F.greatest(shared, F.lit(1)) + 1)
-               .where("prefix > 0").select("hub", "rep", "n", "c", "own", "other", "prefix"))
-    rare = differing.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("_f"))
-    rank = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("_f", "element"))
-    ranked = differing.join(rare, ["hub", "element"]).withColumn("_at", rank).where("_f > 1")
-    keyed = stored(ranked.join(members, ["hub", "rep"]).where("_at <= prefix").select(
-        "hub", "element", "rep", "n", "c", "own", "other"), "keyed")
-    one = keyed.select("hub", "element", F.col("rep").alias("a"), F.col("n").alias("n_a"),
-                       F.col("c").alias("_c"), F.col("own").alias("_k"), F.col("other").alias("_l"))
-    two = keyed.select("hub", "element", F.col("rep").alias("b"), F.col("n").alias("n_b"),
-                       F.col("c").alias("_d"), F.col("other").alias("_k"), F.col("own").alias("_l"))
-    return (one.join(two, ["hub", "element", "_k", "_l"]).where("a < b and _c <> _d")
-            .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-            .select("a", "b", "n_a", "n_b"))
+    span = members.groupBy("hub").agg(F.min("e").alias("_low"), F.max("e").alias("_top"))
+    shared = F.greatest(F.ceil((F.col("e") + F.get(table, F.col("other")) - most) / 2), F.lit(1))
+    members = (members.join(span, "hub").withColumns({
+        "own": class_of(F.col("e")),
+        "other": F.explode(F.sequence(
+            class_of(F.greatest(F.col("e") - most, F.col("_low"))),
+            class_of(F.least(F.col("e") + most, F.col("_top")))))})
+        .withColumn("prefix", F.col("e") - shared + 1).where("prefix > 0")
+        .groupBy("hub", "rep", "n", "c", "e", "own").agg(
+            F.collect_list(F.struct("other", "prefix")).alias("others"),
+            F.max("prefix").alias("longest")))
+    ranked = (rare.join(members, ["hub", "rep"])
+              .withColumn("_at", F.row_number().over(by_rarity)
+                          + F.col("e") - F.count(F.lit(1)).over(every))
+              .where("_at <= longest")
+              .withColumn("other", F.explode(F.filter(
+                  "others", lambda o: o["prefix"] >= F.col("_at"))))
+              .select("hub", "element", "rep", "n", "c", "e", "_at", "own", F.col("other.other")))
+    keyed = stored(ranked, "keyed")
+
+    def side(x: str, own: str, other: str) -> DataFrame:
+        return keyed.select("hub", "element", F.col("rep").alias(x), *(
+            F.col(c).alias(f"{c}_{x}") for c in ("n", "c", "e", "_at")),
+            F.col("own").alias(own), F.col("other").alias(other))
+    allowed = F.floor((F.col("n_a") + F.col("n_b")) * (den - num) / (den + num))
+    need = F.ceil((F.col("e_a") + F.col("e_b") - allowed) / 2)
+    left = 1 + F.least(F.col("e_a") - F.col("_at_a"), F.col("e_b") - F.col("_at_b"))
+    met = (side("a", "_k", "_l").join(side("b", "_l", "_k"), ["hub", "element", "_k", "_l"])
+           .where("a < b and c_a <> c_b")
+           .where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+           .where(left >= need).select("a", "b", "n_a", "n_b"))
+    return met.union(sure)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -267,6 +343,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     document: repeated rows are one document and give equal rows. A null doc_id takes no part and
     has a null component_id. An empty table gives no rows. Texts of any length are read whole.
     """
+    return outcome(docs.sparkSession, "duplicates", lambda: _classes(docs, k, num, den))
+
+
+def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign(k, num, den), SIGNED), "signed")
@@ -277,17 +357,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         "doc_id <> rep").select("doc_id").distinct(), "copies")
     firsts = signed.where("n > 0 and doc_id is not null").join(
         copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
-    by_sign = Window.partitionBy("sign")
-    groups = stored(
-        firsts.select("rep", F.explode("signatures").alias("sign"))
-        .withColumns({"_m": F.count(F.lit(1)).over(by_sign), "_x": F.min("rep").over(by_sign),
-                      "_y": F.max("rep").over(by_sign)}).where("_x < _y").drop("_x", "_y"), "groups")
+    signs = firsts.select("rep", "own", F.posexplode("signatures").alias("_p", "sign")).select(
+        "rep", "sign", (F.col("_p") >= F.col("own")).alias("below"))
+    shared = signs.groupBy("sign").agg(
+        F.count(F.lit(1)).alias("_m"), F.min("rep").alias("_x"), F.max("rep").alias("_y")).where(
+        "_x < _y").select("sign", "_m")
+    groups = stored(signs.join(shared, "sign"), "groups")
     # The class that has most in common with the others comes first: of several versions of one
     # text it is the least altered, to which the rest is linked if to anything.
     ranked = groups.groupBy("rep").agg(F.sum("_m").alias("popular"))
     about = stored(ranked.join(firsts.select(
-        "rep", "n", "band", "need_own", "need_below").dropDuplicates(["rep"]), "rep"), "about")
-    members = groups.select("rep", "sign").join(about.select("rep", "popular"), "rep")
+        "rep", "n", "band", "need_own", "need_below", "own", F.size("signatures").alias("count")
+    ).dropDuplicates(["rep"]), "rep"), "about")
+    members = groups.join(about.select("rep", "popular"), "rep")
 
     def cut(pairs: DataFrame) -> DataFrame:
         """The segments of the documents in the pairs, from their texts."""
@@ -295,20 +377,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         return stored(texts.join(stored(ids, "compared"), "doc_id", "left_semi").select(
             "doc_id", "text").mapInArrow(_cut(k), SEGMENT), "segments")
 
-    hub = F.max(F.struct("popular", (-F.col("rep")).alias("_r"))).over(by_sign)["_r"]
-    starred = stored(members.select("sign", (-hub).alias("hub"), "rep"), "starred")
-    stars = stored(_candidates(
-        starred.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")),
-        about, num, den, NEAR), "stars")
+    hubs = members.groupBy("sign").agg(
+        (-F.max(F.struct("popular", (-F.col("rep")).alias("_r")))["_r"]).alias("hub"))
+    starred = stored(groups.join(hubs, "sign").select("sign", "hub", "rep", "below", "_m"), "starred")
+    # A set is tested against the hubs of most of its segments; other pairs are found below.
+    closest = starred.where("hub <> rep").groupBy("hub", "rep").agg(
+        F.count(F.lit(1)).alias("_k")).groupBy("rep").agg(F.slice(F.array_sort(F.collect_list(
+            F.struct((-F.col("_k")).alias("k"), "hub"))), 1, TESTED).alias("hubs"))
+    stars = stored(_sized(closest.select(F.explode("hubs.hub").alias("a"), F.col("rep").alias("b")),
+                          about, num, den), "stars")
     segments = cut(stars)
     first = stored(overlaps(stars, segments), "first")
     links = stored(first.where(_reach(num, den)).select("a", "b"), "links")
-    found = stored(components(links), "found")
-    near = first.where(_reach(num, 2 * den))
+    found = components(links)
+    kept = _kept(first.where(_reach(num, 2 * den)), about)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    around = _around_hubs(near, segments, found, num, den).distinct().join(
+    around = _around_hubs(kept, segments, found, num, den).distinct().join(
         tested, ["a", "b"], "left_anti")
-    beside = stored(_elsewhere(starred, near, about, found, num, den).join(
+    beside = stored(_elsewhere(starred, kept, about, found, num, den).join(
         tested, ["a", "b"], "left_anti"), "beside")
     more = stored(overlaps(around, segments).union(overlaps(beside, cut(beside))).where(
         _reach(num, den)).select("a", "b"), "links")
@@ -327,6 +413,6 @@ def keep_first(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataF
 
     Documents without words and rows with a null doc_id stay.
     """
-    groups = near_duplicates(docs, k, num, den)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(stored(gone, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    gone = outcome(docs.sparkSession, "copies", lambda: near_duplicates(docs, k, num, den).where(
+        "component_id <> doc_id").select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

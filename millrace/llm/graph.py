@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import outcome, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,6 +19,10 @@ def components(edges: DataFrame) -> DataFrame:
     and a join, so a hub's neighbours are never gathered. Each round is a stored table.
     Self-loops and repeated edges do no harm; nulls are dropped; no edges give no rows.
     """
+    return outcome(edges.sparkSession, "components", lambda: _components(edges))
+
+
+def _components(edges: DataFrame) -> DataFrame:
     now = stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")

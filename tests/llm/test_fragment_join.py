@@ -95,7 +95,7 @@ def test_bands_and_segments_hold_every_partner(num, den):
             0, 1 << 63, 1 + n // 50, dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         if both * den >= num * (len(a) + len(b) - both) and not np.array_equal(a, b):
-            (band_a, need_a, in_a), (band_b, need_b, in_b) = (
+            (band_a, need_a, in_a, _), (band_b, need_b, in_b, _) = (
                 signatures(x, num, den) for x in (a, b))
             need = [need_a[band_a > band_b], need_b[band_b > band_a]]
             assert np.intersect1d(in_a, in_b).size >= max(need)
@@ -131,3 +131,34 @@ def test_components(spark):
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for i in root}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_candidates_grow_with_the_versions(spark, monkeypatch):
+    """Versions of one text of which hardly any are linked: pairs to compare do not grow with the
+    square of their number, neither around a hub nor for short texts with a frequent line."""
+    from millrace.llm import fragment_join as J
+    compared = []
+
+    def counted(pairs, segments, overlaps=J.overlaps):
+        pairs = pairs.cache()
+        compared.append(pairs.count())
+        return overlaps(pairs, segments)
+    monkeypatch.setattr(J, "overlaps", counted)
+    base = prose("base", 300).split()
+
+    def version(i):
+        rng, words = random.Random(i), list(base)
+        for at in rng.sample(range(300), 8):
+            words[at] = prose(f"{i}-{at}", 1) + str(i)
+        return " ".join(words)
+    line = prose("line", 8)
+    seen = []
+    for n in (120, 480):
+        compared.clear()
+        texts = [version(i) for i in range(n)] + [f"{prose(f's{i}', 12)} {line}" for i in range(n)]
+        rows = [(i, t, None, None, 1, None) for i, t in enumerate(texts)]
+        got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), 5, 4, 5).collect()}
+        if n == 120:
+            assert got == {i: c for i, (_, c) in brute(rows, 5, 4, 5).items()}
+        seen.append((sum(compared), n))
+    assert all(pairs <= 5 * n for pairs, n in seen), seen

@@ -1,6 +1,7 @@
 """The pipeline stage by stage against what each stage's decisions must be."""
 
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ import corpus_pipeline as P
 from millrace.llm import attention
 from millrace.llm.buckets import pack_buckets
 from millrace.llm.common import stored, table
+from millrace.settings import work_folder
 from tests.conftest import SF
 from tests.llm.test_fragment_join import brute
 from tests.llm.test_placing import words
@@ -72,3 +74,35 @@ def test_bucket_tokens_can_be_given(spark):
     docs = table(spark, SF, "documents")
     got = pack_buckets(docs, F.col("n_chars"), longest=100_000, buckets=3)
     assert got.agg(F.sum("length")).first()[0] == docs.agg(F.sum("n_chars")).first()[0]
+
+
+def test_mixed_repeats_rows_by_their_own_share(spark):
+    """As often in all as the mix takes them, with repeated rows, null ids and clashing columns."""
+    from millrace.llm.fair_mix import mix, mixed
+    from tests.llm.cases import documents, frame
+    rows = documents()
+    rows += [rows[9]] * 4 + [(None, "no id", None, "s1", 5, None), (None, "no id two", None, "s1", 5, None),
+                             (None, None, None, "s1", 5, None), (6, "other text", "x", "s2", 3, None)]
+    df = frame(spark, rows)
+    names = ["_d", "_t", "_s", "_times", "_rows", "_own", "_again", "_id", "_all", "_text"]
+    df = df.select("*", *[F.lit(x).alias(x) for x in names])
+    out = mixed(df)
+    assert out.columns == df.columns
+    got = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in out.collect())
+    want = Counter()
+    for r in mix(df).collect():
+        if r.times:
+            want[r.doc_id, r.source, r.size] += r.times
+    assert got == want and max(Counter(rows[9][:1] * 5).values()) == 5
+
+
+def test_stages_leave_little_behind(spark):
+    """Work tables of a stage go before it returns; what is left is one table of ids."""
+    folder = Path(work_folder(spark))
+    folder.mkdir(parents=True, exist_ok=True)
+    docs = table(spark, SF, "documents")
+    for name, stage in P.STAGES[:4]:
+        before = set(folder.iterdir())
+        stage(spark, docs, SF)
+        left = set(folder.iterdir()) - before
+        assert len(left) == 1, (name, left)

@@ -1,11 +1,17 @@
 """Personal data against a plain Python version of the patterns."""
 
 import hashlib
+import math
+import random
 import re
+import time
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from millrace.llm.common import table
-from millrace.llm.sanitise import Limits, digest, sanitise
+from millrace.llm.sanitise import Limits, digest, disclosing, mentions, sanitise
 from tests.conftest import SF
 from tests.llm.cases import documents, frame, prose
 
@@ -67,7 +73,8 @@ def test_base_spans(spark):
 
 
 def test_disclosing_terms(spark):
-    """`zorblat` is used only near one address; `common` everywhere; `once` in one context."""
+    """`zorblat` is used only near one address; `common` everywhere; `once` in one context. All spans
+    are listed, also where a text has a term only."""
     texts = [f"{prose(i, 12)} common zorblat writes from boss@corp.example about {prose(i + 50, 9)}"
              for i in range(4)]
     texts.append(f"{prose(7, 9)} once boss@corp.example")
@@ -79,7 +86,9 @@ def test_disclosing_terms(spark):
     for i in range(4):
         places = [x.split(":") for x in spans[i].split(",") if x.startswith("term")]
         assert [texts[i][int(a):int(b)] for _, a, b in places] == ["zorblat"]
-    assert all("term" not in spans[i] for i in range(4, len(texts)))
+    alone = texts.index("zorblat alone")
+    assert spans[alone] == "term:0:7"
+    assert all("term" not in spans[i] for i in range(4, len(texts)) if i != alone)
     clean = {r.doc_id: r for r in sanitise(df, Limits(support=3, generalise=0.6)).collect()}
     assert "zorblat" not in clean[0].text and "[EMAIL]" in clean[0].text and "@" not in clean[0].text
     assert clean[0].n_chars == len(clean[0].text) and "common" in clean[0].text
@@ -118,9 +127,97 @@ def test_terms_go_everywhere(spark):
         places = [x.split(":") for x in rows[i].spans.split(",") if x.startswith("term")]
         found = [texts[i][int(a):int(b)] for _, a, b in places]
         assert found.count("zorblat") == 1 and found.count("Zorblat") == 1
-        assert rows[i].elsewhere == ""
-    assert (rows[44].spans, rows[44].elsewhere) == ("", "term:7:14")
-    assert rows[45].elsewhere == rows[46].elsewhere == ""
+    assert rows[44].spans == "term:7:14" and rows[45].spans == rows[46].spans == ""
     clean = {r.doc_id: r for r in sanitise(df, Limits(generalise=0.6)).collect()}
     assert not any("zorblat" in clean[i].text.lower() for i in [*range(4), 44])
     assert clean[44].n_chars == len(clean[44].text) and clean[45].text == "zorblatt"
+
+
+def plain_disclosure(texts, limits):
+    """Disclosure of each term by each entity, by the definition, over distinct texts."""
+    texts = sorted(set(t or "" for t in texts))
+    word = re.compile(r"[^\W_]+")
+    pairs, entities, corpus = {}, {}, Counter()
+    for t in texts:
+        spans = plain_spans(t)
+        places = [(m.start(), m.end(), m[0].lower()) for m in word.finditer(t)]
+        corpus.update({w for *_, w in places})
+        free = [p for p in places if not any(a < p[1] and b > p[0] for a, _, b, _ in spans)]
+        for a, n, b, _ in spans:
+            value = re.sub("[^0-9]", "", t[a:b]) if n >= 2 else t[a:b].lower()
+            if limits.context is None:
+                near, context = free, t
+            else:
+                c = limits.context
+                near = [p for p in free if (p[1] <= a and (p[0] > a - c or a < c and p[0] >= 0))
+                        or (p[0] >= b and (p[1] < b + c or len(t) < b + c))]
+                context = (t[max(0, a - c):a], t[b:b + c])
+            entities.setdefault((n, value), set()).add(t)
+            for *_, w in near:
+                seen = pairs.setdefault(((n, value), w), (set(), set()))
+                seen[0].add(context)
+                seen[1].add(t)
+    out, total = {}, len(texts)
+    for (entity, w), (contexts, there) in pairs.items():
+        n_c = len(entities[entity])
+        information = math.log2(total / n_c)
+        if len(contexts) >= limits.support and information > 0:
+            value = math.log2(len(there) * total / (corpus[w] * n_c)) / information
+            out[w] = max(out.get(w, -1.0), value)
+    return out
+
+
+@pytest.mark.parametrize("context", [120, 40, None])
+def test_disclosure_values(spark, context):
+    """Which terms are marked, and how strictly, by the definition."""
+    rng = random.Random(6)
+    people = ["ana@corp.example", "bo@corp.example", "10.2.3.4", "+49 30 1234567"]
+    words = [prose(i, 1) + "w" for i in range(60)]
+    texts = []
+    for i in range(160):
+        body = [rng.choice(words) for _ in range(rng.randint(5, 60))]
+        if i % 2:
+            who = rng.randrange(4)
+            for _ in range(rng.randint(1, 3)):
+                body.insert(rng.randrange(len(body)), people[who])
+            for _ in range(2):
+                body.insert(rng.randrange(len(body)), f"clue{who}{rng.randrange(3)}")
+        elif rng.random() < 0.2:
+            body.append(f"clue{rng.randrange(4)}{rng.randrange(3)}")
+        texts.append(rng.choice([" ", ", "]).join(body))
+    texts += texts[:20] + [None, ""]
+    values = plain_disclosure(texts, Limits(context=context))
+    middle = sorted(v for v in values.values() if v >= 0.45)
+    limits = Limits(generalise=0.45, remove=sum(middle[len(middle) // 2 - 1:][:2]) / 2, context=context)
+    want = {w: v for w, v in values.items() if v >= limits.generalise}
+    assert 3 <= len(want) and {v >= limits.remove for v in want.values()} == {True, False}
+    df = frame(spark, [(i, t, None, None, 1, None) for i, t in enumerate(texts)])
+    found = mentions(df)
+    got = {m.term: m.label for r in disclosing(df, found, limits).collect() for m in r.marks}
+    assert got == {w: "" if v >= limits.remove else "[NUMBER]" if re.search(r"\d", w) else "[TERM]"
+                   for w, v in want.items()}
+
+
+def test_many_mentions_in_a_long_text(spark):
+    """A megabyte with 40,000 mentions takes work in proportion."""
+    text = " ".join(f"user{i}@mail.example wrote clue{i % 7}" for i in range(40_000))
+    df = frame(spark, [(1, text, None, None, 1, None), (2, "clue3 alone", None, None, 1, None)])
+    start = time.time()
+    row = digest(df).where("doc_id = 1").first()
+    assert row.n_email == 40_000 and time.time() - start < 120
+    spans = plain_spans(text)
+    want = ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+    assert row.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    clean = sanitise(df).where("doc_id = 1").first().text
+    assert "@" not in clean and clean.count("[EMAIL]") == 40_000
+
+
+def test_clashing_columns(spark):
+    names = ["_id", "_txt", "_spans", "_hash", "base", "extra", "_base", "_b", "_m", "marks"]
+    df = frame(spark, documents(["mail a@b.example", "mail a@b.example"]))
+    df = df.select("*", *[F.lit(x).alias(x) for x in names])
+    out = sanitise(df)
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert len(rows) == df.count() and all(r[x] == x for r in rows for x in names)
+    assert sum("[EMAIL]" in (r.text or "") for r in rows) == 2 and digest(df).count() == len(rows)
