@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import attention
 from millrace.llm.buckets import pack_buckets
-from millrace.llm.common import stored, table
+from millrace.llm.common import outcome, table
 from millrace.llm.fair_mix import mixed
 from millrace.llm.fragment_join import keep_first
 from millrace.llm.sanitise import sanitise
+from millrace.settings import remove, scratch
 
 # A document goes when label 1 is less likely than this.
 LEAST_QUALITY = 0.3
@@ -21,10 +22,12 @@ LEAST_QUALITY = 0.3
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; rows with a null doc_id have no score and stay."""
-    model = attention.fit(docs, table(spark, sf_dir, "labels"))
-    bad = attention.score(docs, model).where(F.col("score") < LEAST_QUALITY).select(
-        "doc_id").distinct()
-    return docs.join(stored(bad, "rejected"), "doc_id", "left_anti").select(*docs.columns)
+    def rejected() -> DataFrame:
+        model = attention.fit(docs, table(spark, sf_dir, "labels"))
+        return attention.score(docs, model).where(F.col("score") < LEAST_QUALITY).select(
+            "doc_id").distinct()
+    bad = outcome(spark, "rejected", rejected)
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +60,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. The work tables of a stage, and the output of the one before it, are
+    removed once its own output is written."""
+    docs, outputs = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        outcome(spark, name, lambda: stage(spark, docs, sf_dir), path)
+        outputs.append(path)
+        docs = spark.read.parquet(path)
+        for old in outputs[:-1]:
+            remove(spark, old)
+        del outputs[:-1]
     return STAGES[-1][1](spark, docs, sf_dir)
