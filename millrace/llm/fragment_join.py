@@ -357,11 +357,12 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         "doc_id <> rep").select("doc_id").distinct(), "copies")
     firsts = signed.where("n > 0 and doc_id is not null").join(
         copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
+    # The counts and the join with them read one and the same exchange, so both need all columns.
     signs = firsts.select("rep", "own", F.posexplode("signatures").alias("_p", "sign")).select(
-        "rep", "sign", (F.col("_p") >= F.col("own")).alias("below"))
+        "rep", "sign", (F.col("_p") >= F.col("own")).alias("below")).repartition("sign")
     shared = signs.groupBy("sign").agg(
-        F.count(F.lit(1)).alias("_m"), F.min("rep").alias("_x"), F.max("rep").alias("_y")).where(
-        "_x < _y").select("sign", "_m")
+        F.count(F.lit(1)).alias("_m"), F.min("rep").alias("_x"), F.max("rep").alias("_y"),
+        F.max("below").alias("_b")).where("_x < _y and _b is not null").select("sign", "_m")
     groups = stored(signs.join(shared, "sign"), "groups")
     # The class that has most in common with the others comes first: of several versions of one
     # text it is the least altered, to which the rest is linked if to anything.
