@@ -5,7 +5,7 @@ from __future__ import annotations
 DIRTY = """
     select o_orderkey, o_custkey, o_orderstatus,
       case o_orderkey % 10 when 0 then null when 1 then '' when 2 then ' null '
-        when 3 then ' 1-urgent' else o_orderpriority end as PRIO
+        when 3 then ' 1-urgent' else o_orderpriority end as PRIO, o_totalprice, o_orderdate
     from orders"""
 LANDING = f"""
     dirty as ({DIRTY}),
@@ -130,7 +130,9 @@ REPORT_ADDRESS = f"""select distinct ID as HCP_ID, {NAME}, NPI as HCP_NPI,
     concat_ws(',', ADDR_LINE_1, CITY, STATE, ZIP) as HCP_ADDR from fact"""
 
 EVENTS = """select event_type as KIND, cast(event_id as varchar) as ID,
-    cast(user_id as varchar) as USER, props as PROPS from events"""
+    cast(user_id as varchar) as USER, props as PROPS, cast(ts as varchar) as TS,
+    cast(value as varchar) as VALUE from events"""
+EVENT_LINE = "concat_ws('|', event_id, user_id, event_type, props, ts, value)"
 IDS = """select n, cast(1 as bigint) as first, n as last, n * (n + 1) // 2 as total, n as ids
     from (select count(*) as n from lineitem)"""
 CONTROL = """
@@ -168,15 +170,17 @@ AUDIT = """cast({run} as integer) as RUN_ID, cast({job} as integer) as GLUE_JOB_
 
 
 def _audit(**values) -> str:
-    return "select '20240101' as CYCLE_ID, " + AUDIT.format(**values)
+    return ("select '20240101' as CYCLE_ID, '2024-01-01 12:00:00' as LOAD_DATE, "
+            + AUDIT.format(**values))
 
 
 IN_LANDING = """
     rows as (select o_orderkey, cast(o_orderkey as varchar) as ORDER_ID,
         cast(o_custkey as varchar) as CUSTOMER_ID, o_orderstatus as STATUS,
-        nullif(PRIO, '') as PRIO from dirty),
+        nullif(PRIO, '') as PRIO, cast(o_totalprice as varchar) as TOTAL,
+        cast(o_orderdate as varchar) as DAY from dirty),
     landing as (select row_number() over (order by o_orderkey) as ROW_ID, ORDER_ID, CUSTOMER_ID,
-        STATUS, PRIO from rows)"""
+        TOTAL, STATUS, PRIO, DAY from rows)"""
 IN_RULES = [
     NULL_RULE, LE_RULE,
     (3, "STATUS", "DOMAIN", "F,O", "STATUS must be one of: F,O", "critical", "STATUS not in ('F', 'O')"),
@@ -190,7 +194,8 @@ KIND_RUN = RUN.replace("cast(1 as integer) as DATASET_ID", "cast(2 as integer) a
 IN_EVENTS = """
     landing as (select row_number() over (order by event_id) as ROW_ID,
         cast(user_id as varchar) as USER, event_type as KIND, props as PROPS,
-        cast(ts as varchar) as TS, cast(event_id as varchar) as ID from events)"""
+        cast(ts as varchar) as TS, cast(value as varchar) as VALUE,
+        cast(event_id as varchar) as ID from events)"""
 
 
 def _ingested(landing: str, rules: list[tuple], run: str) -> str:
@@ -210,7 +215,7 @@ def _ingest_audit() -> str:
             for i, n, t in ((1, "STG_ORDERS", "orders"), (2, "STG_EVENTS", "events"))]
     rows.append(row(3, "STG_BAD", 1, "FAILED", 0,
                     "source columns not found: [''absent'']; the file has [''o_orderkey'', "
-                    "''o_custkey'', ''o_orderstatus'', ''PRIO'']"))
+                    "''o_custkey'', ''o_orderstatus'', ''PRIO'', ''o_totalprice'', ''o_orderdate'']"))
     return " union all ".join(rows)
 
 
@@ -224,9 +229,8 @@ ORACLE: dict[str, str] = {
     "ingest_audit": _ingest_audit(),
     "read_raw_json_text": """select cast(event_id as varchar) as EVENT_ID, cast(ts as varchar) as TS,
         cast(user_id as varchar) as USER_ID, event_type as EVENT_TYPE, props as PROPS,
-        '00501' as ZIP, '1.10' as N from events""",
-    "row_id_orders": """select row_number() over (order by o_orderkey) as ROW_ID, o_orderkey,
-        o_orderstatus from orders""",
+        cast(value as varchar) as VALUE, '00501' as ZIP, '1.10' as N from events""",
+    "row_id_orders": "select row_number() over (order by o_orderkey) as ROW_ID, * from orders",
     "row_id_hot_key": """select row_number() over (order by k, o_orderkey) as ROW_ID, k, o_orderkey
         from (select case when o_orderkey % 3 = 0 then 'hot' else o_orderpriority end as k,
           o_orderkey from orders)""",
@@ -240,7 +244,44 @@ ORACLE: dict[str, str] = {
     "read_raw_json": EVENTS,
     "read_raw_orc": EVENTS,
     "read_raw_parquet": EVENTS,
-    "list_raw_files": "select distinct event_type from events",
+    "read_raw_xml": EVENTS.replace(" from events", ", '00501' as ZIP from events"),
+    "read_raw_text": f"select {EVENT_LINE} as LINE from events".replace("'|'", "chr(9)"),
+    "read_raw_quarantine": """select case when event_id % 7 < 2 then 'quarantine' else 'landed' end as PLACE,
+        case event_id % 7 when 0 then line || '|more' when 1 then event_id || '|' || user_id
+          else line end as RECORD
+        from (select *, concat_ws('|', event_id, user_id, event_type, ts, value) as line from events)""",
+    "list_raw_files": f"""select event_type, cast(sum(octet_length(encode({EVENT_LINE})) + 1) as bigint)
+        as bytes, true as in_folder, true as dated from events group by 1""",
+    "dqm_custom_refused": f"""with {LANDING}, refused as (
+          select unnest([0, 1, 2, 3]) as QC_ID, unnest(['reads', 'reads', 'not the landing''s',
+            'one column']) as why)
+        select (select max(ROW_ID) from landing) as ROW_ID, QC_ID, 'refused: ' || why as OUTCOME
+        from refused
+        union all select max(ROW_ID), 4, 'found' from landing group by PRIO
+        union all select ROW_ID, 5, 'found' from landing where o_totalprice > 100000 or o_custkey % 2 = 0""",
+    "dependency_levels": """with recursive factors as (
+          select p_partkey as k, p_partkey as left_, 0 as n from part where p_partkey > 0
+          union all select k, left_ // by_, n + 1 from factors, (select unnest([2, 3, 5]) as by_)
+          where left_ % by_ = 0)
+        , jobs as (select p_partkey as k from part where p_partkey > 0
+          and (p_partkey % 2 = 0 or p_partkey % 3 = 0 or p_partkey % 5 = 0)
+          union select p_partkey // by_ from part, (select unnest([2, 3, 5]) as by_) where p_partkey > 0 and p_partkey % by_ = 0)
+        select jobs.k as JOB_ID, cast(max(n) as integer) as LEVEL from jobs join factors using (k)
+        group by 1""",
+    "claimed_run_ids": """select DATASET_ID, cast(last + i as integer) as RUN_ID from (
+          select cast(user_id % 5 as integer) as DATASET_ID,
+            max(cast(json_extract(props, '$.k') as integer)) as last from events group by 1),
+        (select unnest(range(1, 9)) as i)""",
+    "log_compacted": """select case when s_nationkey < 12 then '20240101' else '20240102' end as CYCLE_ID,
+        cast(s_suppkey as integer) as RUN_ID, s_name as PROCESS_MESSAGE, true as FEWER from supplier""",
+    "publish_swap": " union all ".join(
+        f"select '{when}' as WHEN_READ, o_orderkey, o_totalprice from orders where {which}"
+        for when, which in (("before", "o_orderkey % 2 = 0"), ("by the reader of before", "o_orderkey % 2 = 0"),
+                            ("after", "true"), ("after a failure", "true"))),
+    "publish_over_itself": "select * replace (o_totalprice + 1 as o_totalprice) from orders",
+    "build_fact_by_sql": f"with {PEOPLE}, {FACT} select * from fact",
+    "build_report_affiliation": f"""with {PEOPLE}, {FACT}
+        select distinct ID as HCP_ID, {NAME}, NPI as HCP_NPI, HCO_ID as HCP_HCO_ID from fact""",
     "latest_file": _latest("%Y%m%d", "true"),
     "latest_file_to_the_second": _latest("%Y%m%d%H%M%S", "event_type in ('click', 'view')"),
     "dqm_null": _check(NULL_RULE),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,19 +20,22 @@ from millrace.operators.mapping import apply_mapping, warehouse_columns
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import (
     check, flag, flag_from_log, rollup, summarize)
-from millrace.operators.runs import next_run_ids
+from millrace.operators.runs import claim_run_id, next_run_ids
 from millrace.operators.sqlstep import run_sql
-from millrace.plans.build import build
+from millrace.plans.build import build, build_all
 from millrace.plans.ingest import ingest, stage
 from millrace.plans.marts import (
-    fact_customer, fact_from, report_address, report_address_from, report_affiliation)
+    fact_customer, fact_from, report_address, report_address_from, report_affiliation,
+    report_affiliation_from)
 from millrace.settings import scratch
 from millrace.sinks.catalog import register
-from millrace.sinks.logs import RUN_FOLDERS, append, audit, write_violations
+from millrace.sinks.logs import RUN_FOLDERS, append, audit, compact, write_violations
 from millrace.sinks.publish import archive_path, publish
-from millrace.sources.control import Control, job_targets, layouts, resolve_dependencies
+from millrace.sinks.versions import read_current
+from millrace.sources.control import (
+    Control, dependency_levels as levels_of, job_targets, layouts, resolve_dependencies)
 from millrace.sources.files import latest_files, list_files
-from millrace.sources.raw import read_raw
+from millrace.sources.raw import read_raw, split_malformed
 from millrace.sources.stored import (
     load_dependencies, read_audit, read_table, read_violations)
 
@@ -74,7 +79,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     prio = (F.when(last == 0, None).when(last == 1, "").when(last == 2, " null ")
             .when(last == 3, " 1-urgent").otherwise(F.col("o_orderpriority")))
     return table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", prio.alias("PRIO"))
+        "o_orderkey", "o_custkey", "o_orderstatus", prio.alias("PRIO"), "o_totalprice", "o_orderdate")
 
 
 def landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,8 +92,7 @@ def landing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def row_id_orders(spark, sf):
-    return with_row_id(
-        table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), order_by=["o_orderkey"])
+    return with_row_id(table(spark, sf, "orders"), order_by=["o_orderkey"])
 
 
 @query
@@ -131,7 +135,9 @@ def select_all_lineitem(spark, sf):
 
 
 def _raw_events(spark, sf) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
+    """All columns of events, with the time as text so that its spelling is one."""
+    return table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "props", F.col("ts").cast("string").alias("ts"), "value")
 
 
 def _write_raw(df: DataFrame, fmt: str, **options) -> str:
@@ -140,7 +146,8 @@ def _write_raw(df: DataFrame, fmt: str, **options) -> str:
     return path
 
 
-EVENT_LAYOUT = [("event_type", "KIND"), ("event_id", "ID"), ("user_id", "USER"), ("props", "PROPS")]
+EVENT_LAYOUT = [("event_type", "KIND"), ("event_id", "ID"), ("user_id", "USER"), ("props", "PROPS"),
+                ("ts", "TS"), ("value", "VALUE")]
 
 
 @query
@@ -154,17 +161,54 @@ def read_raw_csv(spark, sf):
 def read_raw_unheadered(spark, sf):
     path = _write_raw(_raw_events(spark, sf), "csv", sep="\t", escape='"')
     raw = read_raw(spark, path, "CSV", "\t", header=False)
-    return apply_mapping(raw, [("col2", "KIND"), ("_c0", "ID"), ("col1", "USER"), ("_c3", "PROPS")])
+    return apply_mapping(raw, [("col2", "KIND"), ("_c0", "ID"), ("col1", "USER"), ("_c3", "PROPS"),
+                               ("_c4", "TS"), ("col5", "VALUE")])
 
 
 @query
 def read_raw_json(spark, sf):
     nested = _raw_events(spark, sf).select(
-        "event_id", F.struct("user_id", "event_type").alias("who"), "props")
+        "event_id", F.struct("user_id", "event_type").alias("who"), "props", "ts", "value")
     raw = read_raw(spark, _write_raw(nested, "json"), "json")
     return apply_mapping(raw, [
         ("who.event_type", "KIND"), ("event_id", "ID"), ("who.user_id", "USER"),
-        ("props", "PROPS")])
+        ("props", "PROPS"), ("ts", "TS"), ("value", "VALUE")])
+
+
+@query
+def read_raw_xml(spark, sf):
+    """Nested elements, and values kept as the file spells them."""
+    nested = _raw_events(spark, sf).select(
+        "event_id", F.struct("user_id", "event_type").alias("who"), "props", "ts", "value",
+        F.lit("00501").alias("zip"))
+    raw = read_raw(spark, _write_raw(nested, "xml", rowTag="event"), "xml", as_text=True, rowTag="event")
+    return apply_mapping(raw, [
+        ("who.event_type", "KIND"), ("event_id", "ID"), ("who.user_id", "USER"),
+        ("props", "PROPS"), ("ts", "TS"), ("value", "VALUE"), ("zip", "ZIP")])
+
+
+@query
+def read_raw_text(spark, sf):
+    """Lines as they are."""
+    rows = _raw_events(spark, sf)
+    lines = rows.select(F.concat_ws("\t", *rows.columns).alias("value"))
+    return apply_mapping(read_raw(spark, _write_raw(lines, "text"), "text"), [("value", "LINE")])
+
+
+@query
+def read_raw_quarantine(spark, sf):
+    """Delimited records with a field too many or too few go aside, as they stand in the file."""
+    rows = _raw_events(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in (
+        "event_id", "user_id", "event_type", "ts", "value")])
+    line = F.concat_ws("|", *rows.columns)
+    key = F.col("event_id").cast("bigint") % 7
+    lines = rows.select(F.when(key == 0, F.concat(line, F.lit("|more")))
+                        .when(key == 1, F.concat_ws("|", "event_id", "user_id")).otherwise(line))
+    schema = "event_id string, user_id string, event_type string, ts string, value string"
+    path = _write_raw(lines.toDF("value"), "text")
+    good, bad = split_malformed(spark, path, "csv", "|", header=False, schema=schema)
+    whole = good.select(F.lit("landed").alias("PLACE"), line.alias("RECORD"))
+    return whole.union(bad.select(F.lit("quarantine"), "RECORD"))
 
 
 @query
@@ -181,12 +225,16 @@ def read_raw_parquet(spark, sf):
 
 @query
 def list_raw_files(spark, sf):
-    """Folders found by listing the files in them."""
+    """Paths, lengths and times of the files in a tree of folders, summed up by folder."""
     path = scratch(spark, "raw")
-    _raw_events(spark, sf).write.partitionBy("event_type").json(path)
+    rows = _raw_events(spark, sf)
+    rows.select("event_type", F.concat_ws("|", *rows.columns).alias("line")).write.partitionBy(
+        "event_type").text(path)
     folder = F.regexp_extract("path", "/event_type=([^/]+)/[^/]+$", 1)
     listed = list_files(spark, path).where(F.col("length") > 0)
-    return listed.select(folder.alias("event_type")).distinct()
+    return listed.groupBy(folder.alias("event_type")).agg(
+        F.sum("length").alias("bytes"), F.bool_and(F.contains("path", F.lit(path))).alias("in_folder"),
+        F.bool_and(F.col("mtime") > F.lit("2020-01-01").cast("timestamp")).alias("dated"))
 
 
 def _inventory(spark, sf, stamp_format) -> DataFrame:
@@ -268,6 +316,32 @@ def dqm_custom(spark, sf):
     return check(landing(spark, sf), [CUSTOM_RULE], RUN)
 
 
+@query
+def dqm_custom_refused(spark, sf):
+    """Rules whose queries read or return what they may not, with the reason; findings of the others."""
+    table(spark, sf, "customer").createOrReplaceTempView("customers_of_others")
+    rows, found = landing(spark, sf), []
+    texts = [
+        "select ROW_ID from landingTable l join customers_of_others c on l.o_custkey = c.c_custkey",
+        f"select ROW_ID from landingTable where o_custkey in (select c_custkey from parquet.`{sf}/customer.parquet`)",
+        "select o_orderkey as ROW_ID from landingTable",
+        "select o_orderkey from landingTable",
+        "with x as (select ROW_ID as r, PRIO from landingTable) select max(r) as ROW_ID from x group by PRIO",
+        "select ROW_ID from landingTable where o_totalprice > 100000 union select ROW_ID from landingTable "
+        "where o_custkey % 2 = 0"]
+    for i, text in enumerate(texts):
+        rule = Rule(1, i, "o_custkey", "CUSTOM", text, "low")
+        try:
+            hits = check(rows, [rule], RUN).select("ROW_ID", "QC_ID", F.lit("found").alias("OUTCOME"))
+        except ValueError as e:
+            reason = "reads" if "reads" in str(e) else "one column" if "one column" in str(e) else "not the landing's"
+            hits = rows.select(F.max("ROW_ID").alias("ROW_ID"), F.lit(i).alias("QC_ID"),
+                               F.lit(f"refused: {reason}").alias("OUTCOME"))
+        found.append(hits)
+    spark.catalog.dropTempView("customers_of_others")
+    return reduce(DataFrame.union, found)
+
+
 @query
 def dqm_log(spark, sf):
     return check(landing(spark, sf), [*PLAIN_RULES, *LENGTHS.values()], RUN)
@@ -380,6 +454,16 @@ def column_layout(spark, sf):
     return layouts(control.all_columns, control.all_datasets)
 
 
+@query
+def dependency_levels(spark, sf):
+    """In which order jobs can run: a part needs those of a half, a third and a fifth of its number."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("JOB_ID")).where("JOB_ID > 0")
+    needs = parts.select("JOB_ID", F.explode(F.array(F.lit(2), F.lit(3), F.lit(5))).alias("by")).where(
+        F.col("JOB_ID") % F.col("by") == 0).select(
+        "JOB_ID", (F.col("JOB_ID") / F.col("by")).cast("bigint").alias("NEEDS"))
+    return levels_of(needs)
+
+
 # --- joins, facts, reports ---------------------------------------------------------------
 
 
@@ -528,6 +612,40 @@ def publish_rebalanced(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def publish_swap(spark, sf):
+    """A versioned target before, during and after a replacement, and after one that failed."""
+    path, seen = scratch(spark, "target"), []
+    orders = table(spark, sf, "orders")
+
+    def look(when: str, rows: DataFrame) -> None:
+        seen.append(rows.select(F.lit(when).alias("WHEN_READ"), "o_orderkey", "o_totalprice"))
+    publish(orders.where("o_orderkey % 2 = 0"), path, versioned=True)
+    before = read_current(spark, path)
+    look("before", before)
+    publish(orders, path, versioned=True)
+    look("by the reader of before", before)
+    look("after", read_current(spark, path))
+    try:
+        publish(orders.select("o_orderkey", F.raise_error(F.lit("lost")).alias("o_totalprice")), path,
+                versioned=True)
+    except Exception:
+        look("after a failure", read_current(spark, path))
+    return reduce(DataFrame.union, seen)
+
+
+@query
+def publish_over_itself(spark, sf):
+    """A plain target made of its own rows, and kept by a write that fails."""
+    path = scratch(spark, "target")
+    publish(table(spark, sf, "orders"), path)
+    publish(spark.read.parquet(path).withColumn("o_totalprice", F.col("o_totalprice") + 1), path)
+    try:
+        publish(table(spark, sf, "orders").withColumn("o_custkey", F.raise_error(F.lit("lost"))), path)
+    except Exception:
+        return spark.read.parquet(path)
+
+
 @query
 def archive_copy(spark, sf):
     path, archive = scratch(spark, "target"), scratch(spark, "archive")
@@ -544,7 +662,9 @@ def catalog_table(spark, sf):
     register(spark, name, path)
     publish(customers.drop("c_acctbal"), path)
     register(spark, name, path)
-    return spark.table(name)
+    rows = spark.table(name).select("*")
+    spark.sql(f"drop table {name}")  # its files stay; so do the rows that were resolved
+    return rows
 
 
 @query
@@ -577,6 +697,37 @@ def log_replace(spark, sf):
     return read_table(spark, path, VIOLATIONS)
 
 
+@query
+def claimed_run_ids(spark, sf):
+    """Eight callers at once for each of five datasets: each gets an id of its own, after those used."""
+    base = scratch(spark, "claims")
+    used = table(spark, sf, "events").select(
+        (F.col("user_id") % 5).cast("int").alias("DATASET_ID"), F.lit("20240101").alias("CYCLE_ID"),
+        F.get_json_object("props", "$.k").cast("int").alias("RUN_ID"))
+    kinds = [r[0] for r in used.select("DATASET_ID").distinct().collect()]
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda kind: (kind, claim_run_id(
+            spark, base, used, "DATASET_ID", kind, "20240101")), [k for k in kinds for _ in range(8)]))
+    return spark.createDataFrame(ids, "DATASET_ID int, RUN_ID int")
+
+
+@query
+def log_compacted(spark, sf):
+    """Audit rows of two cycles, a file for each, before and after one cycle is compacted."""
+    path = scratch(spark, "audit")
+    rows = table(spark, sf, "supplier").select(
+        F.when(F.col("s_nationkey") < 12, "20240101").otherwise("20240102").alias("CYCLE_ID"),
+        F.col("s_suppkey").cast("int").alias("RUN_ID"), F.col("s_name").alias("PROCESS_MESSAGE"))
+    for part in range(5):
+        append(rows.where(F.col("RUN_ID") % 5 == part), path, ("CYCLE_ID",))
+    files = list_files(spark, f"{path}/CYCLE_ID=20240101").where("length > 0")
+    many = files.count()
+    compact(spark, path, "20240101", 1)
+    few = list_files(spark, f"{path}/CYCLE_ID=20240101").where("path like '%.parquet'").count()
+    return read_audit(spark, path).select(
+        "CYCLE_ID", "RUN_ID", "PROCESS_MESSAGE", F.lit(few == 1 and many >= 5).alias("FEWER"))
+
+
 @query
 def load_audit(spark, sf):
     log = scratch(spark, "audit")
@@ -584,7 +735,11 @@ def load_audit(spark, sf):
         n = publish(table(spark, sf, name), scratch(spark, "target"))
         audit(spark, log, Run("20240101", 1, i, 10, "load", NOW), Dataset(i, name, "raw", 10),
               fixed.INGESTION, fixed.SUCCESS, n)
-    return read_audit(spark, log).drop("LOAD_DATE")
+    return _dated(read_audit(spark, log))
+
+
+def _dated(log: DataFrame) -> DataFrame:
+    return log.withColumn("LOAD_DATE", F.date_format("LOAD_DATE", "yyyy-MM-dd HH:mm:ss"))
 
 
 # --- whole jobs --------------------------------------------------------------------------
@@ -661,7 +816,33 @@ def build_audit(spark, sf):
         build(spark, control, 20, fact_from, bases, logs, job_name="fact", now=NOW)
     text = "select distinct ID, NPI from F_CUSTOMER"
     build(spark, control, 30, text, bases, logs, fixed.REPORTING, "report", now=NOW)
-    return read_audit(spark, logs.audit).drop("LOAD_DATE")
+    return _dated(read_audit(spark, logs.audit))
+
+
+FACT_SQL = """
+    select distinct h.ID, h.FIRST_NAME, h.MIDDLE_NAME, h.LAST_NAME, h.NPI, a.HCO_ID, d.ADDR_LINE_1,
+      d.ADDR_LINE_2, d.CITY, d.STATE, d.ZIP, cast(null as string) as PLACEHOLDER
+    from (select distinct * from STG_MDM_HCP) h
+    left join (select distinct * from STG_MDM_AFFIL) a on h.NPI = a.HCP_NPI
+    left join (select distinct * from STG_VEEVA_ADDR) d on h.NPI = d.NPI"""
+
+
+@query
+def build_fact_by_sql(spark, sf):
+    """The fact's job with its transformation as SQL text."""
+    control, bases, logs = _jobs(spark, sf)
+    build(spark, control, 20, FACT_SQL, bases, logs, now=NOW)
+    return spark.read.parquet(bases.target(control.target(20)))
+
+
+@query
+def build_report_affiliation(spark, sf):
+    """Fact and second report as jobs given in any order, each into a versioned target."""
+    control, bases, logs = _jobs(spark, sf)
+    versions = {"versioned": True}
+    build_all(spark, control, {30: report_affiliation_from, 20: fact_from}, bases, logs, workers=2,
+              options={20: versions, 30: {**versions, "process": fixed.REPORTING}}, now=NOW)
+    return read_current(spark, bases.target(control.target(30)))
 
 
 @query
@@ -701,7 +882,8 @@ def _ingested(spark, sf, *jobs: int) -> tuple[Bases, Logs]:
     """Raw files of three datasets, older ones beside them, and the given jobs run in order."""
     base = scratch(spark, "ingest")
     bases = Bases(f"{base}/raw", f"{base}/curated", f"{base}/processed")
-    orders = dirty(spark, sf).orderBy("o_orderkey")
+    orders = dirty(spark, sf).withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("string")).orderBy("o_orderkey")
     csv = {"header": True, "sep": "|", "escape": "\"", "ignoreLeadingWhiteSpace": False,
            "ignoreTrailingWhiteSpace": False}
     _put(orders.limit(3), "csv", f"{bases.raw}/orders/orders_20231231.csv", **csv)
@@ -716,8 +898,10 @@ def _ingested(spark, sf, *jobs: int) -> tuple[Bases, Logs]:
 
     layout = [(1, 30, "PRIO", "PRIO"), (1, 4, "o_orderkey", "ORDER_ID"),
               (1, 20, "o_orderstatus", "STATUS"), (1, 5, "o_custkey", "CUSTOMER_ID"),
+              (1, 6, "o_totalprice", "TOTAL"), (1, 31, "o_orderdate", "DAY"),
               (2, 2, "event_type", "KIND"), (2, 10, "event_id", "ID"), (2, 1, "user_id", "USER"),
-              (2, 3, "props", "PROPS"), (2, 4, "ts", "TS"), (3, 1, "absent", "A")]
+              (2, 3, "props", "PROPS"), (2, 4, "ts", "TS"), (2, 5, "value", "VALUE"),
+              (3, 1, "absent", "A")]
     control = Control(
         spark.createDataFrame([row(1, "STG_ORDERS", 10, "csv", "orders"),
                                row(2, "STG_EVENTS", 10, "parquet", "events"),
@@ -772,7 +956,7 @@ def ingest_audit(spark, sf):
 def read_raw_json_text(spark, sf):
     """All columns of events as JSON spells them, and values that typing would change."""
     rows = table(spark, sf, "events").select(
-        "event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "props",
+        "event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "props", "value",
         F.lit("00501").alias("zip"))
     path = scratch(spark, "raw")
     # Written as text, so that the number 1.10 stands in the file as it is.

@@ -16,6 +16,17 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def spare(taken: list[str], *names: str) -> list[str]:
+    """Names for helper columns: those given, with as many underscores as keep them apart."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def normalized(name: str) -> str:
     """SQL for the column as upper-case text without surrounding spaces (tabs stay)."""
     return f"upper(trim(cast({quoted(name)} as string)))"

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace import fixed
 from millrace.functions.rules import validate, violation
-from millrace.functions.text import array_text, bracketed, column, null_text
+from millrace.functions.text import array_text, bracketed, column, null_text, spare
 from millrace.model import VIOLATIONS, Rule, Run
+from millrace.operators.ruleplan import check_rule_plan
 from millrace.operators.sqlstep import run_sql
 from millrace.sources.local import local_frame
 
@@ -55,6 +56,7 @@ def custom_hits(landing: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     found = []
     for index, rule in custom:
         rows = run_sql(spark, rule.qc_param, {fixed.LANDING_VIEW: landing})
+        check_rule_plan(rows, rule)
         rows = rows.select(F.col(fixed.ROW_ID).cast("bigint")).distinct()
         found.append(rows.withColumn(RULE, F.lit(index)))
     return reduce(DataFrame.unionByName, found) if found else local_frame(spark, [], _HITS)
@@ -124,15 +126,16 @@ def flag(
     plain, custom = _prepare(landing, rules)
     names = landing.columns
     marked = landing
+    marks = spare(names, *(f"_broken_{i}" for i in range(len(rules))))
     if custom:
         hits = hits if hits is not None else custom_hits(landing, rules)
         per_row = hits.groupBy(fixed.ROW_ID).agg(*[
-            F.bool_or(F.col(RULE) == i).alias(f"_broken_{i}") for i, _ in custom])
+            F.bool_or(F.col(RULE) == i).alias(marks[i]) for i, _ in custom])
         marked = marked.join(per_row, fixed.ROW_ID, "left")
-        marked = marked.fillna(False, [f"_broken_{i}" for i, _ in custom])
+        marked = marked.fillna(False, [marks[i] for i, _ in custom])
     marked = marked.select("*", *[
-        violation(rule, strict).alias(f"_broken_{i}") for i, rule in plain])
-    broken = {i: F.col(f"_broken_{i}") for i in range(len(rules))}
+        violation(rule, strict).alias(marks[i]) for i, rule in plain])
+    broken = {i: F.col(marks[i]) for i in range(len(rules))}
     critical = _any([broken[i] for i, rule in enumerate(rules) if rule.is_critical])
     return marked.select(
         _texts(broken, rules, lambda r: r.qc_id).alias("QC_ID") if rules

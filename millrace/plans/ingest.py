@@ -16,14 +16,15 @@ from millrace.model import SUMMARY, Bases, Dataset, Logs, Rule, Run
 from millrace.operators.mapping import apply_mapping
 from millrace.operators.numbering import number_stored_rows, with_row_id
 from millrace.operators.quality import check, custom_hits, flag, summarize
-from millrace.operators.runs import next_run_id
+from millrace.operators.runs import claim_run_id
 from millrace.settings import remove, scratch
 from millrace.sinks.catalog import register
-from millrace.sinks.logs import append, audit, write_violations
+from millrace.sinks.logs import append, audit, put_aside, write_violations
 from millrace.sinks.publish import publish
+from millrace.sinks.versions import current
 from millrace.sources.control import Control
 from millrace.sources.files import latest_file, list_files
-from millrace.sources.raw import has_header, read_raw
+from millrace.sources.raw import has_header, read_raw, split_malformed
 from millrace.sources.stored import read_audit, read_run
 
 log = logging.getLogger(__name__)
@@ -32,13 +33,14 @@ log = logging.getLogger(__name__)
 @contextmanager
 def audited(spark: SparkSession, logs: Logs, run: Run, dataset: Dataset, process: str):
     """Append the audit row of one run: SUCCESS with the count set on the outcome, or FAILED."""
-    outcome: dict = {"count": 0}
+    outcome: dict = {"count": 0, "message": ""}
     try:
         yield outcome
     except Exception as e:
         audit(spark, logs.audit, run, dataset, process, fixed.FAILED, 0, str(e))
         raise
-    audit(spark, logs.audit, run, dataset, process, fixed.SUCCESS, outcome["count"])
+    audit(spark, logs.audit, run, dataset, process, fixed.SUCCESS, outcome["count"],
+          outcome["message"])
     log.info("%s: %s rows", dataset.dataset_name, outcome["count"])
 
 
@@ -70,6 +72,7 @@ def stage(
     partitions: int | str | None = None,
     strict: bool = True,
     work: str | None = None,
+    versioned: bool = False,
 ) -> int:
     """Log the violations, publish the flagged rows, log the summary; returns the row count."""
     spark = landing.sparkSession
@@ -82,7 +85,7 @@ def stage(
     found = check(landing, rules, run, strict, hits, compact=True)
     write_violations(found, logs.violations, run)
     count = publish(flag(landing, rules, strict, hits), target, archive, partitions,
-                    run.load_date)
+                    run.load_date, versioned)
     if not isinstance(logs.violations, dict):
         # The run's own folder holds each finding once; counting it spares a pass over the rows.
         found = read_run(spark, logs.violations, run.dataset_id, run.cycle_id, run.run_id)
@@ -103,12 +106,19 @@ def ingest_dataset(
     strict: bool = True,
     read_options: dict | None = None,
     now: datetime | None = None,
+    versioned: bool = False,
+    quarantine: str | None = None,
 ) -> Run:
-    """Ingest the newest file of one dataset."""
+    """Ingest the newest file of one dataset.
+
+    Its target keeps versions if it is to be `versioned`. With a base folder for `quarantine`, records
+    that do not fit the file's columns are put there (`sources.raw.split_malformed`) and their
+    number stands in the audit row's message; without one they are read as well as they can be.
+    """
     now = now or datetime.now()
     cycle_id = f"{now:{fixed.CYCLE_FORMAT}}"
-    run_id = next_run_id(
-        read_audit(spark, logs.audit, cycle_id), "DATASET_ID", dataset.dataset_id, cycle_id)
+    run_id = claim_run_id(spark, logs.audit, read_audit(spark, logs.audit, cycle_id), "DATASET_ID",
+                          dataset.dataset_id, cycle_id)
     run = Run(cycle_id, run_id, dataset.dataset_id, dataset.job_id, job_name, now)
     with audited(spark, logs, run, dataset, fixed.INGESTION) as outcome:
         folder, fmt = bases.source(dataset), dataset.file_format
@@ -120,18 +130,23 @@ def ingest_dataset(
         log.info("%s: %s", dataset.dataset_name, newest["path"])
         columns = (None if dataset.select_all_fields == fixed.YES
                    else control.layout(dataset.dataset_id))
-        raw = read_raw(spark, newest["path"], fmt, dataset.file_delimiter,
-                       has_header(dataset.header_flag), columns is not None,
-                       **(read_options or {}))
+        reading = (newest["path"], fmt, dataset.file_delimiter, has_header(dataset.header_flag),
+                   columns is not None)
         target, work = bases.target(dataset), scratch(spark, f"ingest-{cycle_id}-{run_id}")
         try:
+            if quarantine is None:
+                raw = read_raw(spark, *reading, **(read_options or {}))
+            else:
+                raw, bad = split_malformed(spark, *reading, work=work, **(read_options or {}))
+                put = put_aside(bad, quarantine, run)
+                outcome["message"] = f"{put} malformed records" if put else ""
             outcome["count"] = stage(
                 land(spark, dataset, raw, columns, work), control.rule_list(dataset.dataset_id),
-                run, logs, target, bases.archive(dataset), partitions, strict, work)
+                run, logs, target, bases.archive(dataset), partitions, strict, work, versioned)
         finally:
             remove(spark, work)
         if database:
-            register(spark, f"{database}.{dataset.target_table_name}", target)
+            register(spark, f"{database}.{dataset.target_table_name}", current(spark, target))
     return run
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import fixed
 from millrace.model import COLUMNS, DATASETS, DEPENDENCIES, RULES, Dataset, Rule, join_path
+from millrace.settings import scratch
 from millrace.sources.stored import read_table
 
 
@@ -31,6 +32,37 @@ def layouts(columns: DataFrame, datasets: DataFrame) -> DataFrame:
         "DATASET_ID", "COLUMN_SEQUENCE_NUMBER")
 
 
+def dependency_levels(edges: DataFrame) -> DataFrame:
+    """JOB_ID and LEVEL of every job in `edges` (JOB_ID, NEEDS): 0 for jobs that need no other, else one
+    more than the highest level needed. Jobs that need each other in a circle are an error.
+
+    A round of joins settles one level, and its result is stored; a row per job and edge is kept,
+    never a list per job.
+    """
+    edges = _kept(edges.select("JOB_ID", "NEEDS").where(
+        "JOB_ID is not null and NEEDS is not null").distinct())
+    jobs = _kept(edges.select("JOB_ID").union(edges.select("NEEDS")).distinct())
+    settled = _kept(jobs.join(edges, "JOB_ID", "left_anti").withColumn("LEVEL", F.lit(0)))
+    level, fresh = 0, settled
+    while not fresh.isEmpty():
+        level += 1
+        blocked = edges.join(settled.select(F.col("JOB_ID").alias("NEEDS")), "NEEDS", "left_anti")
+        fresh = _kept(edges.join(fresh.select(F.col("JOB_ID").alias("NEEDS")), "NEEDS").select(
+            "JOB_ID").distinct().join(blocked, "JOB_ID", "left_anti").join(
+            settled, "JOB_ID", "left_anti").withColumn("LEVEL", F.lit(level)))
+        settled = _kept(settled.union(fresh))
+    circle = jobs.join(settled, "JOB_ID", "left_anti").orderBy("JOB_ID").limit(20).collect()
+    if circle:
+        raise ValueError(f"jobs that need each other: {[r['JOB_ID'] for r in circle]}")
+    return settled
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession, "levels")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Control:
     """The four control tables. Filters run in Spark; only rows of one job reach the driver."""
@@ -104,6 +136,14 @@ class Control:
             raise LookupError(f"job {job_id}: source datasets missing or not unique: {wrong}")
         return sorted(found, key=lambda d: d.dataset_id)
 
+    def levels(self) -> DataFrame:
+        """JOB_ID and LEVEL of the jobs with active dependencies and of those that make what they
+        read. A dataset is made by the job it belongs to."""
+        made = self.all_datasets.select(
+            F.col("DATASET_ID").alias("SOURCE_DATASET_ID"), F.col("JOB_ID").alias("NEEDS"))
+        mine = self.all_dependencies.where(F.col("ACTIVE_FLAG") == fixed.YES)
+        return dependency_levels(mine.join(made, "SOURCE_DATASET_ID").select("JOB_ID", "NEEDS"))
+
     def sources_of(self, target: Dataset, job_id: int) -> list[Dataset]:
         """Sources of a job with this target. A job may not overwrite what it reads."""
         sources = self.sources(job_id)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.model import AUDIT, VIOLATIONS, Bases, Dataset
+from millrace.sinks.versions import read_current
 from millrace.sources.local import local_frame
 
 
@@ -66,5 +67,5 @@ def read_violations(
 def load_dependencies(
     spark: SparkSession, sources: list[Dataset], bases: Bases
 ) -> dict[str, DataFrame]:
-    """Each source dataset's stored rows under its dataset name."""
-    return {d.dataset_name: spark.read.parquet(bases.target(d)) for d in sources}
+    """Each source dataset's stored rows under its dataset name, of versioned targets the current."""
+    return {d.dataset_name: read_current(spark, bases.target(d)) for d in sources}
