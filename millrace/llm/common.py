@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -49,6 +50,24 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the work tables of stored frames that nothing reads any more, and have the JVM collect
+    what finished steps left, upon which Spark removes their shuffle files."""
+    spark = frames[0].sparkSession
+    tables = _TABLES.get()
+    for frame in frames:
+        for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            remove(spark, path)
+            if tables is not None:
+                tables[:] = [t for t in tables if not path.endswith(t.split(":", 1)[-1])]
+    collect(spark)
+
+
+def collect(spark: SparkSession) -> None:
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def outcome(spark: SparkSession, name: str, build: Callable[[], DataFrame],
             path: str | None = None) -> DataFrame:
     """The frame that `build` makes, stored. The work tables stored on the way are removed, also when
@@ -63,6 +82,7 @@ def outcome(spark: SparkSession, name: str, build: Callable[[], DataFrame],
         _TABLES.reset(token)
         for path in tables:
             remove(spark, path)
+        collect(spark)
     if outer is not None:
         outer.append(kept)
     return result

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import outcome, stored
+from millrace.llm.common import outcome, release, stored
 from millrace.llm.graph import components
 from millrace.llm.hashing import U64, mix, shingle_sets, text_bytes
 
@@ -370,6 +370,8 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     about = stored(ranked.join(firsts.select(
         "rep", "n", "band", "need_own", "need_below", "own", F.size("signatures").alias("count")
     ).dropDuplicates(["rep"]), "rep"), "about")
+    sizes = stored(signed.select("doc_id", "n", "s1", "s2"), "sizes")
+    release(signed, copies)
     members = groups.join(about.select("rep", "popular"), "rep")
 
     def cut(pairs: DataFrame) -> DataFrame:
@@ -389,6 +391,7 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                           about, num, den), "stars")
     segments = cut(stars)
     first = stored(overlaps(stars, segments), "first")
+    release(stars)
     links = stored(first.where(_reach(num, den)).select("a", "b"), "links")
     found = components(links)
     kept = _kept(first.where(_reach(num, 2 * den)), about)
@@ -403,7 +406,7 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     named = classes.select("s1", "s2", "n", "rep").join(
         whole.withColumnRenamed("id", "rep"), "rep", "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
-    return signed.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left").select(
+    return sizes.join(named, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(),
                F.coalesce("component_id", "doc_id")).alias("component_id"))
