@@ -366,13 +366,22 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     groups = stored(signs.join(shared, "sign"), "groups")
     # The class that has most in common with the others comes first: of several versions of one
     # text it is the least altered, to which the rest is linked if to anything.
-    ranked = groups.groupBy("rep").agg(F.sum("_m").alias("popular"))
+    ranked = groups.groupBy("rep").agg(
+        F.sum("_m").alias("popular"), F.count_if("below").alias("met_below"),
+        F.count_if(~F.col("below")).alias("met_own"))
+    # A linked set shares `need` segments with its partner alone; who shares fewer with all others
+    # together has none there. So sets that meet by chance, more of them in larger corpora, go.
     about = stored(ranked.join(firsts.select(
         "rep", "n", "band", "need_own", "need_below", "own", F.size("signatures").alias("count")
-    ).dropDuplicates(["rep"]), "rep"), "about")
+    ).dropDuplicates(["rep"]), "rep").where(
+        "met_own >= need_own or met_below >= need_below"), "about")
     sizes = stored(signed.select("doc_id", "n", "s1", "s2"), "sizes")
-    release(signed, copies)
-    members = groups.join(about.select("rep", "popular"), "rep")
+    members = stored(groups.join(about.select(
+        "rep", "popular", "need_own", "need_below", "met_own", "met_below"), "rep").where(
+        F.when(F.col("below"), F.col("met_below") >= F.col("need_below")).otherwise(
+            F.col("met_own") >= F.col("need_own"))).select(
+        "sign", "rep", "below", "_m", "popular"), "members")
+    release(signed, copies, groups)
 
     def cut(pairs: DataFrame) -> DataFrame:
         """The segments of the documents in the pairs, from their texts."""
@@ -382,7 +391,7 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     hubs = members.groupBy("sign").agg(
         (-F.max(F.struct("popular", (-F.col("rep")).alias("_r")))["_r"]).alias("hub"))
-    starred = stored(groups.join(hubs, "sign").select("sign", "hub", "rep", "below", "_m"), "starred")
+    starred = stored(members.join(hubs, "sign").select("sign", "hub", "rep", "below", "_m"), "starred")
     # A set is tested against the hubs of most of its segments; other pairs are found below.
     closest = starred.where("hub <> rep").groupBy("hub", "rep").agg(
         F.count(F.lit(1)).alias("_k")).groupBy("rep").agg(F.slice(F.array_sort(F.collect_list(

@@ -162,3 +162,24 @@ def test_candidates_grow_with_the_versions(spark, monkeypatch):
             assert got == {i: c for i, (_, c) in brute(rows, 5, 4, 5).items()}
         seen.append((sum(compared), n))
     assert all(pairs <= 5 * n for pairs, n in seen), seen
+
+
+def test_chance_meetings_are_not_compared(spark, monkeypatch):
+    """Texts that share a passage, and so a few segments at most, are left out before any pair is
+    made; the linked ones among them are found."""
+    from millrace.llm import fragment_join as J
+    compared = []
+
+    def counted(pairs, segments, overlaps=J.overlaps):
+        pairs = pairs.cache()
+        compared.append(pairs.count())
+        return overlaps(pairs, segments)
+    monkeypatch.setattr(J, "overlaps", counted)
+    passage = prose("passage", 30)
+    texts = [f"{prose(f'c{i}', 60)} {passage} {prose(f'd{i}', 60)}" for i in range(200)]
+    texts += [t + " more" for t in texts[:20]]
+    rows = [(i, t, None, None, 1, None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), 5, 4, 5).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows, 5, 4, 5).items()}
+    # Forty documents have a partner; each is tested against TESTED hubs at most.
+    assert got[219] == 19 and sum(compared) <= J.TESTED * 40, compared
