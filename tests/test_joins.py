@@ -1,9 +1,11 @@
 """Heavy-key joins against a plain join, and the fact's shape."""
 
 import pytest
+from pyspark.sql import types as T
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from millrace import fact_customer, left_join, report_address, report_affiliation
+from millrace.operators.joins import SPREAD, _grid
 from tests.conftest import plan_of
 
 KEYS = st.sampled_from([None, "a", "a", "a", "b", "b", "c", "d"])
@@ -63,6 +65,24 @@ def test_small_keys_are_not_split(spark):
     assert "_row_cell" not in plan_of(left_join(a, spark.range(5).selectExpr("id as r"), "k", "r"))
 
 
+@pytest.mark.parametrize("left,right", [
+    (225_000, 1_500), (1_500, 225_000), (1_000_000, 1), (1, 1_000_000), (3_000, 2_400), (7, 9)])
+@pytest.mark.parametrize("rows,pairs_", [(1_000_000, 50), (4, 40), (500, 10**9)])
+def test_copies_stay_few_next_to_rows_and_pairs(spark, left, right, rows, pairs_):
+    """Cells as small as asked for made thirty copies for each pair."""
+    a = spark.createDataFrame([(1, left)], "key long, n long")
+    b = spark.createDataFrame([(1, right)], "key long, n long")
+    most = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for r in _grid(a, b, T.LongType(), rows, pairs_).collect():
+        cells = r["rows"] * r["columns"]
+        assert 1 < cells <= most + max(r["rows"], r["columns"])
+        copies = left * r["columns"] + right * r["rows"]
+        assert copies <= left + right + 2 * (most * left * right) ** 0.5
+        if cells < most / 2:
+            assert left <= rows * r["rows"] and right <= rows * r["columns"]
+            assert left * right <= pairs_ * cells
+
+
 def test_keys_without_a_common_type(spark):
     a = spark.range(3).selectExpr("id", "array(id) as k")
     with pytest.raises(TypeError, match="common type"):
