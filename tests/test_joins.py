@@ -1,9 +1,10 @@
 """Heavy-key joins against a plain join, and the fact's shape."""
 
 import pytest
-from pyspark.sql import types as T
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F, types as T
 
+from checks.queries import QUERIES
 from millrace import fact_customer, left_join, report_address, report_affiliation
 from millrace.operators.joins import SPREAD, _grid
 from tests.conftest import plan_of
@@ -83,6 +84,33 @@ def test_copies_stay_few_next_to_rows_and_pairs(spark, left, right, rows, pairs_
             assert left * right <= pairs_ * cells
 
 
+@pytest.mark.parametrize("cell", [10, 10_000])
+def test_totals_stand_for_the_joined_rows(spark, cell):
+    """Of a key heavy on both sides, with NULL keys and two zeros, no pair is made."""
+    a = spark.range(400).selectExpr("id", "case id % 4 when 0 then null when 1 then id else 0 end as k")
+    b = spark.range(90).selectExpr("id as rid", "cast(case id % 3 when 0 then -0.0D when 1 then 0 "
+                                   "when 2 then if(id % 2 = 0, null, id) end as double) as r")
+    b = b.withColumn("w", F.when(F.col("rid") % 5 != 0, F.col("rid")))
+    got = left_join(a, b, "k", "r", cell_rows=cell, totals={"n": "count(1)", "w": "sum(w)"})
+    assert got.columns == ["id", "k", "r", "n", "w"] and got.count() == 400
+    whole = a.join(b, a.k == b.r, "left").groupBy("id", "k").agg(
+        F.count("rid").alias("n"), F.sum("w").alias("w"))
+    assert pairs(got.select("id", "k", F.coalesce("n", F.lit(0)), "w")) == pairs(whole)
+
+
+def test_mixed_types_make_no_row_for_each_pair(spark, tmp_path):
+    """Ten thousand left rows meet a thousand and 334 on the right: 3.3 billion pairs."""
+    spark.range(20_000).selectExpr("id as o_orderkey", "-1L as o_custkey").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.range(10_000).selectExpr("id as c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    got = QUERIES["heavy_join_mixed_types"](spark, str(tmp_path))
+    keys = [7, *range(0, 10_000, 10)]
+    thirds = [k for k in keys if k % 3 == 0]
+    found = {tuple(r)[1:] for r in got.collect()}
+    assert found == {(-1, 1, None, None), (
+        7, len(keys) * len(thirds), sum(keys) * len(thirds), sum(thirds) * len(keys))}
+
+
 def test_keys_without_a_common_type(spark):
     a = spark.range(3).selectExpr("id", "array(id) as k")
     with pytest.raises(TypeError, match="common type"):
