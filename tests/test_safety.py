@@ -13,6 +13,7 @@ from millrace import (
 from millrace.model import AUDIT
 from millrace.sinks import versions
 from millrace.sinks.logs import put_aside
+from millrace.sources import control
 from millrace.sources.local import local_frame
 from tests.conftest import plan_of
 
@@ -147,6 +148,17 @@ def test_levels(spark):
         dependency_levels(spark.createDataFrame([*needs, (8, 9), (9, 8)], "JOB_ID int, NEEDS int"))
 
 
+def test_levels_send_no_table_to_the_driver(spark, monkeypatch):
+    """A round's rows were broadcast, and a broadcast is collected on the driver first."""
+    plans, keep = [], control._kept
+    monkeypatch.setattr(control, "_kept", lambda df, *a: (plans.append(plan_of(df)), keep(df, *a))[1])
+    needs = spark.range(2, 60).selectExpr("id as JOB_ID", "explode(array(id - 1, id div 2)) as NEEDS")
+    levels = dependency_levels(needs.where("JOB_ID < 12 or NEEDS < 12"))
+    assert {(r["JOB_ID"], r["LEVEL"]) for r in levels.where("JOB_ID < 12").collect()} == {
+        (i, i - 1) for i in range(1, 12)}
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 def test_compaction_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     for i in range(6):
