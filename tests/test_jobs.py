@@ -1,16 +1,21 @@
 """Sinks, and whole jobs over files in a folder, run twice."""
 
+import glob
+import os
+import shutil
 from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import _ingested
 from millrace import (
-    Bases, Logs, Rule, Run, append, build, check, ingest, publish, read_audit, read_violations,
-    register, write_violations)
+    Bases, Logs, Rule, Run, append, build, check, ingest, latest_file, list_files, publish, read_audit,
+    read_raw, read_violations, register, write_violations)
 from millrace import fixed
-from millrace.model import SUMMARY, VIOLATIONS
+from millrace.model import SUMMARY, VIOLATIONS, Dataset
+from millrace.plans.ingest import land
 from millrace.plans.marts import fact_from, report_address_from, report_affiliation_from
 from millrace.sinks.publish import archive_path
 from millrace.sources.stored import read_table
@@ -268,6 +273,39 @@ def test_raw_parquet_is_numbered_in_place(spark, world, tmp_path):
     assert not (tmp / "curated" / "archive").exists()
 
 
+@pytest.mark.parametrize("all_fields", [True, False])
+def test_a_file_in_parts_is_one_file_in_their_order(spark, tmp_path, all_fields):
+    """A folder named like a file: later parts are larger, so Spark reads them first."""
+    named = f"{tmp_path}/in_20240201.csv"
+    for i, (first, last) in enumerate([(0, 20), (20, 600), (600, 5000)]):
+        rows = spark.range(first, last, numPartitions=1).selectExpr("id as n", "repeat('x', 40) as t")
+        rows.write.option("header", True).csv(f"{tmp_path}/one-{i}")
+        part, = glob.glob(f"{tmp_path}/one-{i}/part-*.csv")
+        os.makedirs(named, exist_ok=True)
+        shutil.copy(part, f"{named}/part-{i}.csv")
+    spark.range(3).selectExpr("id as n").write.csv(f"{tmp_path}/in_20240101.csv")
+    newest = latest_file(list_files(spark, str(tmp_path)), "in_YYYYMMDD", "csv").collect()
+    assert [r["path"].split("/")[-1] for r in newest] == ["in_20240201.csv"]
+    raw = read_raw(spark, newest[0]["path"], "csv")
+    landed = land(spark, Dataset(1, "IN", "raw", 1, file_format="csv"), raw,
+                  None if all_fields else [("n", "n")])
+    assert landed.columns == ["ROW_ID", "n", "t"][:3 if all_fields else 2]
+    assert landed.where("ROW_ID <> cast(n as bigint) + 1").count() == 0 and landed.count() == 5000
+
+
+def test_ingest_queries_write_their_files_in_many_tasks(spark, tmp_path):
+    """All orders and all events went through one task each."""
+    spark.read.parquet(f"{SF}/orders.parquet").repartition(4).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bases, _ = _ingested(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for name in ("orders/orders_20240101.csv", "events/events_20240101.parquet"):
+        assert len(glob.glob(f"{bases.raw}/{name}/part-*")) > 1
+
+
 def test_sql_text_and_catalog(spark, world):
     control, bases, logs, _ = world
     spark.sql("create database if not exists millrace_test")
