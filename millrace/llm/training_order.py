@@ -11,18 +11,20 @@ from __future__ import annotations
 import base64
 import itertools
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import bound, small_batches, stored
+from millrace.llm.common import bound, collect, small_batches, stored
 from millrace.operators.numbering import number_stored_rows
 from millrace.settings import scratch
 
 LENGTH, PER_SHARD, ROUNDS = 512, 8192, 6
+# In how many rounds the shards are written, each of which reads the sequences.
+PASSES = 4
 END = 50256
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CACHED = 200_000
@@ -151,15 +153,21 @@ def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH,
     """Writes `ordered` (slot, data) as files of equal records, padded with the end id.
 
     Slot s is record s % per_shard of file s // per_shard, at byte 2 * length * (s % per_shard).
-    Returns shard and records of each file. `folder` is a path or URI all executors can write to.
+    The shards are written in PASSES rounds, so that only a part of the tokens lies in a shuffle at a
+    time. Returns shard and records of each file. `folder` is a path or URI all executors can write to.
     """
     files, base = fs.FileSystem.from_uri(folder)
     files.create_dir(base, recursive=True)
+    spark = ordered.sparkSession
     shard = F.floor(F.col("slot") / per_shard)
-    n = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored(ordered.select("slot", "data", shard.alias("shard")).repartition(n, "shard")
-                  .sortWithinPartitions("slot").select("slot", "data").mapInArrow(
-        _write(folder, length, per_shard), "shard long, records long"), "shards")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, rounds = ordered.select("slot", "data", shard.alias("shard")), []
+    for i in range(PASSES):
+        rounds.append(stored(rows.where(F.col("shard") % PASSES == i).repartition(n, "shard")
+                             .sortWithinPartitions("slot").select("slot", "data").mapInArrow(
+            _write(folder, length, per_shard), "shard long, records long"), "shards"))
+        collect(spark)
+    return reduce(DataFrame.union, rounds)
 
 
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH,

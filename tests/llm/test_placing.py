@@ -262,3 +262,15 @@ def test_round_trip(spark, tmp_path):
     assert not [p for p in (tmp_path / "shards").iterdir() if p.name.startswith(".")
                 and not p.name.endswith(".crc")]
     assert training_order(frame(spark, [])).count() == 0
+
+
+def test_a_round_of_shards_shuffles_a_part_of_the_tokens(spark, tmp_path, monkeypatch):
+    """All tokens lay in one shuffle, beside the sequences and the shards."""
+    from millrace.llm import training_order as t
+    plans, keep = [], t.stored
+    monkeypatch.setattr(t, "stored", lambda df, name: (plans.append(df), keep(df, name))[1])
+    ordered = spark.range(1000).selectExpr("id as slot", "cast(repeat('ab', 8) as binary) as data")
+    got = t.write_shards(ordered, str(tmp_path), length=8, per_shard=10)
+    assert sorted((r["shard"], r["records"]) for r in got.collect()) == [(i, 10) for i in range(100)]
+    assert len(plans) == t.PASSES > 1 and all(df.count() <= 34 for df in plans)
+    assert sum(1 for _ in t.read_slots(str(tmp_path), 0, 1000, 8, 10)) == 1000
