@@ -15,10 +15,12 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import bound, collect, small_batches, stored
+from millrace.llm.hashing import text_bytes
 from millrace.operators.numbering import number_stored_rows
 from millrace.settings import scratch
 
@@ -27,59 +29,87 @@ LENGTH, PER_SHARD, ROUNDS = 512, 8192, 6
 PASSES = 4
 END = 50256
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-CACHED = 200_000
 # The published splitting pattern of the byte-level vocabulary.
 PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Callable[[str], list[int]]:
-    """Encodes texts with the byte-pair ranks at `path`, remembering words.
+def batch_tokenizer(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Encodes an array of texts with the byte-pair ranks at `path`: all ids, and the bounds of each
+    text's.
 
     A blank between two other characters always begins a token, so a text can be cut there without
-    changing its tokens. Texts with other runs of blanks are encoded as a whole.
+    changing its tokens. The distinct words of the array are encoded in one run, told apart by the
+    bytes of the ids, and the texts' ids are gathered from the words'. Texts with other runs of blanks
+    are encoded as a whole.
     """
     import tiktoken
     with fs.LocalFileSystem().open_input_stream(path) as f:
         lines = f.read().splitlines()
     ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x)}
-    encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks,
-                               special_tokens={}).encode_ordinary
-    known: dict[str, list[int]] = {}
-
-    def run(text: str) -> list[int]:
-        parts = text.split(" ")
-        if "" in parts or any(p[0].isspace() or p[-1].isspace() for p in parts):
-            return encode(text)
-        out = encode(parts[0])
-        for part in parts[1:]:
-            ids = known.get(part)
-            if ids is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                ids = known[part] = encode(" " + part)
-            out += ids
-        return out
+    encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    if max(ranks.values()) >= 1 << 16:
+        raise ValueError("ids are stored in 16 bits")
+    width = np.zeros(max(ranks.values()) + 1, np.int64)
+    width[list(ranks.values())] = [len(x) for x in ranks]
+
+    def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = pc.split_pattern(texts, " ")
+        first = parts.offsets.to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # Empty, or with blanks of their own at an end.
+        lone = pc.not_equal(pc.utf8_trim_whitespace(words), words).to_numpy(zero_copy_only=False)
+        lone |= pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        odd = np.add.reduceat(lone[at].astype(np.int64), first[:-1]) > 0
+        nothing, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        spaced = pc.binary_join_element_wise(nothing, words.filter(pa.array(~lone)), blank)
+        bytes_ = np.where(lone, 0, pc.binary_length(words).to_numpy() + 1)
+        joined = spaced.buffers()[2].to_pybytes()[:bytes_.sum()].decode() if len(spaced) else ""
+        flat = encode.encode_to_numpy(joined, disallowed_special=()).astype(np.int64)
+        cuts = np.searchsorted(np.cumsum(width[flat]), np.cumsum(bytes_), side="right")
+        sizes = np.diff(cuts, prepend=0)
+        # A text's first word has no blank before it; that of an odd text stands for all of it.
+        heads = [encode.encode_ordinary(x.as_py()) for x in (
+            texts[i] if whole else words[at[first[i]]] for i, whole in enumerate(odd))]
+        at[first[:-1]] = len(words) + np.arange(len(odd))
+        flat = np.concatenate([flat, np.array([i for x in heads for i in x], np.int64)])
+        sizes = np.concatenate([sizes, np.array([len(x) for x in heads], np.int64)])
+        counts = np.where(np.repeat(odd, np.diff(first)), 0, sizes[at])
+        counts[first[:-1]] = sizes[len(words):]
+        ends = np.cumsum(counts)
+        begins = (np.cumsum(sizes) - sizes)[at]
+        out = flat[np.repeat(begins - (ends - counts), counts) + np.arange(counts.sum())]
+        return out, np.concatenate([[0], ends])[first]
     return run
 
 
+def tokenizer(path: str) -> Callable[[str], list[int]]:
+    """Encodes one text as `batch_tokenizer` does."""
+    encode = batch_tokenizer(path)
+    return lambda text: encode(pa.array([text], pa.large_string()))[0].tolist()
+
+
 def _cut(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path)
+        encode = batch_tokenizer(path)
         for batch in batches:
-            doc, order, size, data = [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([*encode(text or ""), END], np.uint16)
-                for j, s in enumerate(range(0, len(ids), length)):
-                    part = ids[s:s + length]
-                    doc.append(i)
-                    order.append(j)
-                    size.append(len(part))
-                    data.append(part.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(doc, pa.int64())), pa.array(order, pa.int32()),
-                 pa.array(size, pa.int32()), pa.array(data, pa.binary())],
-                names=["doc_id", "sequence", "tokens", "data"])
+            for row, text, bounds in text_bytes(batch.column(1)):
+                doc, order, size, data = [], [], [], []
+                ids, at = encode(pa.LargeStringArray.from_buffers(
+                    len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(text)))
+                for i in range(len(bounds) - 1):
+                    own = np.append(ids[at[i]:at[i + 1]], END).astype("<u2")
+                    for j, s in enumerate(range(0, len(own), length)):
+                        part = own[s:s + length]
+                        doc.append(row + i)
+                        order.append(j)
+                        size.append(len(part))
+                        data.append(part.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(doc, pa.int64())), pa.array(order, pa.int32()),
+                     pa.array(size, pa.int32()), pa.array(data, pa.binary())],
+                    names=["doc_id", "sequence", "tokens", "data"])
     return run
 
 

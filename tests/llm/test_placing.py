@@ -274,3 +274,21 @@ def test_a_round_of_shards_shuffles_a_part_of_the_tokens(spark, tmp_path, monkey
     assert sorted((r["shard"], r["records"]) for r in got.collect()) == [(i, 10) for i in range(100)]
     assert len(plans) == t.PASSES > 1 and all(df.count() <= 34 for df in plans)
     assert sum(1 for _ in t.read_slots(str(tmp_path), 0, 1000, 8, 10)) == 1000
+
+
+def test_distinct_words_are_encoded_once(monkeypatch):
+    """A batch was encoded by a call and a loop for each of its words; the bytes now encoded are those of its
+    distinct words, and the ids are the same."""
+    import pyarrow as pa
+    import tiktoken
+    from millrace.llm import training_order as t
+    given = []
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        monkeypatch.setattr(tiktoken.Encoding, name, lambda self, text, f=getattr(
+            tiktoken.Encoding, name), **k: (given.append(text), f(self, text, **k))[1])
+    texts = [f"{w} the quick brown fox jumps over it again" * 3 for w in "abcdefgh"] * 50 + [
+        "", " ", "a  b", "x  y", None]
+    encode, plain = t.batch_tokenizer.__wrapped__(VOCABULARY), tokenizer(VOCABULARY)
+    ids, at = encode(pa.array([x or "" for x in texts], pa.large_string()))
+    assert len(given) <= len(texts) + 1 and sum(map(len, given)) < 2_000
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain(x or "") for x in texts]
