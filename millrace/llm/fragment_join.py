@@ -180,6 +180,22 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
         "c", F.coalesce("component", "rep")).drop("component")
 
 
+def _sharing(pairs: DataFrame, members: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) that have as many segments in common as a link of either needs at least.
+
+    Texts with a frequent line meet in its segment, each with all others, but hardly in a second one;
+    so they go before their sets are cut and their overlaps counted.
+    """
+    held = members.groupBy("rep").agg(F.collect_set("sign").alias("held")).join(about.select(
+        "rep", F.least("need_own", "need_below").alias("need")), "rep")
+
+    def side(x: str) -> DataFrame:
+        return held.withColumnsRenamed({"rep": x, "held": f"held_{x}", "need": f"need_{x}"})
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        F.size(F.array_intersect("held_a", "held_b")) >= F.greatest("need_a", "need_b")).select(
+        pairs.columns)
+
+
 def _kept(near: DataFrame, about: DataFrame) -> DataFrame:
     """Stored: hub, rep, n: of the hubs that a set is near to, the KEPT most popular. Versions of one
     text are near to many hubs, and mostly to the same most popular ones."""
@@ -407,8 +423,8 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     around = _around_hubs(kept, segments, found, num, den).distinct().join(
         tested, ["a", "b"], "left_anti")
-    beside = stored(_elsewhere(starred, kept, about, found, num, den).join(
-        tested, ["a", "b"], "left_anti"), "beside")
+    beside = stored(_sharing(_elsewhere(starred, kept, about, found, num, den).join(
+        tested, ["a", "b"], "left_anti"), members, about), "beside")
     more = stored(overlaps(around, segments).union(overlaps(beside, cut(beside))).where(
         _reach(num, den)).select("a", "b"), "links")
     whole = components(links.union(more))

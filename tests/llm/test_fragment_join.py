@@ -183,3 +183,16 @@ def test_chance_meetings_are_not_compared(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in brute(rows, 5, 4, 5).items()}
     # Forty documents have a partner; each is tested against TESTED hubs at most.
     assert got[219] == 19 and sum(compared) <= J.TESTED * 40, compared
+
+
+def test_pairs_share_as_many_segments_as_a_link_needs(spark):
+    """Sets that met in the segment of a frequent line only were cut and counted, each with all others."""
+    from millrace.llm.fragment_join import _sharing
+    signs = {i: [0, 10 * i, 10 * i + 1] for i in range(1, 30)} | {30: [0, 10, 11]}
+    members = spark.createDataFrame(
+        [(s, i) for i, x in signs.items() for s in x], "sign long, rep long")
+    about = spark.createDataFrame([(i, 3, 2 + i % 2) for i in signs], "rep long, need_own int, need_below int")
+    pairs = spark.createDataFrame(
+        [(a, b, 5) for a in signs for b in signs if a < b], "a long, b long, n_a long")
+    got = _sharing(pairs, members, about)
+    assert got.columns == ["a", "b", "n_a"] and [tuple(r) for r in got.collect()] == [(1, 30, 5)]
