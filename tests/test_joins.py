@@ -183,3 +183,14 @@ def test_reports(people):
         "1 St,Rome,NY,1", "2 St,Rome,NY,"}
     got = report_affiliation(fact).where("HCP_ID = 1").collect()
     assert sorted(r["HCP_HCO_ID"] for r in got) == ["H1", "H2"]
+
+
+def test_a_key_with_all_the_pairs_has_cells_enough_to_fill_tasks_evenly(spark):
+    """Four hashed cells for each task left the fullest task with twice the rows of others; many keys
+    need no more."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for keys, least, most in ((1, 48, 64), (40, 3, 5)):
+        counts = spark.createDataFrame([(k, 100_000) for k in range(keys)], "key long, n long")
+        got = _grid(counts, counts, T.LongType(), 4, 40).collect()
+        assert len(got) == keys
+        assert all(least * tasks <= r["rows"] * r["columns"] <= most * tasks for r in got)
