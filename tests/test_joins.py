@@ -194,3 +194,38 @@ def test_a_key_with_all_the_pairs_has_cells_enough_to_fill_tasks_evenly(spark):
         got = _grid(counts, counts, T.LongType(), 4, 40).collect()
         assert len(got) == keys
         assert all(least * tasks <= r["rows"] * r["columns"] <= most * tasks for r in got)
+
+
+def same_rows(got, want):
+    both = [df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+            for df in (got, want)]
+    return both[0] == both[1]
+
+
+@pytest.mark.parametrize("cell_pairs", [100_000, 10**9])
+def test_keys_of_several_blocks(spark, cell_pairs):
+    """Keys with more rows on either side than a block holds, split or not, next to light ones."""
+    a = spark.range(4_000).selectExpr("id", "case when id % 2 = 0 then 1 when id % 3 = 0 then null "
+                                            "when id % 5 = 0 then 2 else id end as k")
+    b = spark.range(3_000).selectExpr("id as rid", "if(id % 2 = 0, 1, if(id % 7 = 0, 2, id)) as r")
+    got = left_join(a, b, "k", "r", cell_rows=1_200, cell_pairs=cell_pairs)
+    assert "_row_cell" in plan_of(got) and same_rows(got, a.join(b, a.k == b.r, "left"))
+
+
+def test_a_file_of_the_pairs_stays_small(spark, tmp_path):
+    """Left rows in no order of the keys gave two bytes for each pair, 28 GB for 13.5 billion pairs."""
+    a = spark.range(4_000).selectExpr("id", "id % 40 as k")
+    b = spark.range(20_000).selectExpr("id as rid", "id % 40 as r")
+    got = left_join(a, b, "k", "r", cell_pairs=25_000)
+    got.write.parquet(f"{tmp_path}/pairs")
+    written = spark.read.parquet(f"{tmp_path}/pairs")
+    assert same_rows(written, a.join(b, a.k == b.r, "left"))
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < written.count() / 2
+
+
+def test_tasks_grow_with_the_pairs(spark):
+    """Merged by the bytes they read, few tasks made all the pairs."""
+    a = spark.range(20_000).selectExpr("id", "id % 4 as k")
+    b = spark.range(2_000).selectExpr("id as rid", "id % 4 as r")
+    got = left_join(a, b, "k", "r", cell_rows=1_000)
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) == 8
